@@ -9,11 +9,14 @@ that two sets above the threshold share a shingle of their short prefixes.
    sketch's counts over the whole corpus make it a rare-first one.
 2. A second pass emits prefix shingles, once per task and digest: equal sets
    are one vertex. Shingles of one vertex only are dropped.
-3. Each shingle's bucket links its members to one hub. Verified links give
-   components. Then members of a bucket in *different* components are paired
-   under the length and positional filters and verified. Pairs inside a known
+3. In two rounds each vertex is tried against one member of its largest
+   bucket, and verified links give components. Then members of a bucket in
+   *different* components are paired under the length and positional filters,
+   each pair at its first common shingle, and verified. Pairs inside a known
    component need no check, so a group of thousands of near copies costs a
    star and not a clique, and no link between components is lost.
+4. Verification bounds the overlap by counts over hash ranges, then by the
+   suffix filter, and then counts it.
 """
 
 from __future__ import annotations
@@ -23,13 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHash, checkpointed, col, ship
 
 #: Bytes other than white space stay; A-Z are lower-cased.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Rounds in which each vertex tries one member of another component.
+STAR_ROUNDS = 2
 #: Counters of the sketch and how many travel in one row.
 SKETCH_WIDTH, SKETCH_CHUNK = 1 << 18, 1 << 14
 _A, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -93,6 +98,12 @@ def _pylist(batch: pa.RecordBatch, name: str, step: int = 256) -> Iterator:
         yield from column.slice(i, step).to_pylist()
 
 
+def _tally(counts: np.ndarray, held: list[np.ndarray]) -> None:
+    if held:
+        counts += np.bincount((np.concatenate(held) >> np.uint64(46)).astype(np.int64), minlength=SKETCH_WIDTH)
+        held.clear()
+
+
 def _first_pass(docs: DataFrame, width: int) -> DataFrame:
     """Rows (id, v, n) of documents, and rows (chunk, blob) of each task's sketch."""
 
@@ -100,14 +111,15 @@ def _first_pass(docs: DataFrame, width: int) -> DataFrame:
         memo, counts = WordHash(), np.zeros(SKETCH_WIDTH, np.int64)
         none = lambda n, kind: pa.nulls(n, kind)
         for batch in batches:
-            vs, ns = [], []
+            vs, ns, held = [], [], []
             for text in _pylist(batch, "text"):
                 grams = shingles(text, width, memo)
-                counts += np.bincount((grams >> np.uint64(46)).astype(np.int64), minlength=SKETCH_WIDTH) if len(grams) > 20_000 else 0
-                if len(grams) <= 20_000:
-                    np.add.at(counts, (grams >> np.uint64(46)).astype(np.int64), 1)
+                held.append(grams)
                 vs.append(digest(grams))
                 ns.append(len(grams))
+                if len(held) == 256:
+                    _tally(counts, held)
+            _tally(counts, held)
             k = len(vs)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(vs, pa.binary()), pa.array(ns, pa.int64()), none(k, pa.int32()), none(k, pa.binary())], names=["id", "v", "n", "chunk", "blob"])
         chunks = [i for i in range(SKETCH_WIDTH // SKETCH_CHUNK) if counts[i * SKETCH_CHUNK : (i + 1) * SKETCH_CHUNK].any()]
@@ -167,14 +179,14 @@ def _prefixes(docs: DataFrame, width: int, num: int, den: int, counts: np.ndarra
 _BLOOM_MIN, _BLOOM_MAX = 1 << 16, 1 << 27
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """The sets of the vertices in ``pairs``, one row per vertex.
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """Rows (v, grams, parts) of the vertices in ``wanted``: the set and its counts by hash range.
 
     A bitmap of fixed size over the wanted digests drops nearly all other
     documents in the map; the join on digests makes it exact.
     """
     sc = docs.sparkSession.sparkContext
-    wanted = checkpointed(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct())
+    wanted = checkpointed(wanted)
     bits = _BLOOM_MIN
     while bits < min(_BLOOM_MAX, 64 * wanted.count()):
         bits *= 2
@@ -205,17 +217,47 @@ def _sets(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     return found.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("grams").alias("grams"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs that link, each tested once on its whole sets."""
-    sets = _sets(docs, pairs, width)
-    both = pairs.join(sets.select(F.col("v").alias("a"), F.col("grams").alias("ga")), "a").join(sets.select(F.col("v").alias("b"), F.col("grams").alias("gb")), "b")
+#: Hash ranges whose counts bound the overlap of two sets before the sets are sent.
+PARTS = 256
+
+
+def _parts(sets: DataFrame) -> DataFrame:
+    """Rows (v, parts): how many of a set's shingles lie in each hash range."""
 
     def run(batches):
         for batch in batches:
-            ok = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den) for x, y in zip(_pylist(batch, "ga"), _pylist(batch, "gb"))]
+            parts = [np.bincount((np.frombuffer(g, np.uint64) >> np.uint64(56)).astype(np.int64), minlength=PARTS).astype(np.uint16 if len(g) < 8 * 65_536 else np.uint32).tobytes() for g in _pylist(batch, "grams")]
+            yield pa.RecordBatch.from_arrays([batch.column("v"), pa.array(parts, pa.binary())], names=["v", "parts"])
+
+    return sets.select("v", "grams").mapInArrow(run, "v binary, parts binary")
+
+
+def _counts_of(parts: bytes) -> np.ndarray:
+    return np.frombuffer(parts, np.uint16 if len(parts) == 2 * PARTS else np.uint32).astype(np.int64)
+
+
+def _tested(pairs: DataFrame, sets: DataFrame, name: str, test) -> DataFrame:
+    """The pairs (a, b) whose values in ``sets`` pass a test."""
+    x, y = (sets.select(F.col("v").alias(side), F.col(name).alias(f"g{side}")) for side in "ab")
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "ga", "gb")
+
+    def run(batches):
+        for batch in batches:
+            ok = [test(g, h) for g, h in zip(_pylist(batch, "ga"), _pylist(batch, "gb"))]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "ga", "gb").mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs that link: bounded by their parts, then tested once on whole sets."""
+
+    def bounded(p: bytes, q: bytes) -> bool:
+        p, q = _counts_of(p), _counts_of(q)
+        return int(np.minimum(p, q).sum()) >= needed_overlap(int(p.sum()), int(q.sum()), num, den)
+
+    kept = _tested(pairs, _parts(sets), "parts", bounded)
+    return checkpointed(_tested(kept, sets, "grams", lambda g, h: similar(np.frombuffer(g, np.uint64), np.frombuffer(h, np.uint64), num, den)))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -256,25 +298,32 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counts = _sketch(first.where("chunk is not null").select("chunk", "blob"))
 
     buckets = F.count("*").over(_by("tok"))
-    hub = F.min("v").over(_by("tok"))
     entries = _prefixes(docs, width, num, den, counts).repartition("tok").groupBy("tok", "v").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
-    entries = checkpointed(entries.withColumn("size", buckets).where("size > 1").withColumn("hub", hub).drop("size"))
-
-    hubs = entries.where("v = hub").select("tok", F.col("n").alias("hn"), F.col("pos").alias("hpos"))
-    stars = entries.where("v != hub").join(hubs, "tok").where(_may_link("n", "pos", "hn", "hpos", num, den))
-    stars = checkpointed(stars.select(F.greatest("v", "hub").alias("a"), F.least("v", "hub").alias("b")).distinct())
-    links = checkpointed(_verified(docs, stars, width, num, den))
-    known = checkpointed(components(links))
-
-    marked = entries.join(known, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    mixed = marked.withColumn("lo", F.min("label").over(_by("tok"))).withColumn("hi", F.max("label").over(_by("tok"))).where("lo != hi")
-    mixed = checkpointed(mixed.select("tok", "v", "n", "pos", "label"))
+    entries = checkpointed(entries.withColumn("size", buckets).where("size > 1"))
+    sets = checkpointed(_sets(docs, entries.select("v").distinct(), width))
+
+    links, known, tried = None, None, None
+    for _ in range(STAR_ROUNDS):
+        # a vertex's largest bucket of several components offers it one member of another component
+        ends = _mixed(entries, known).withColumn("other", F.when(F.col("label") != F.col("lo.label"), F.col("lo")).otherwise(F.col("hi")))
+        ends = ends.where(_may_link("n", "pos", "other.n", "other.pos", num, den))
+        stars = ends.groupBy("v").agg(F.max_by("other.v", F.struct("size", "tok")).alias("w"))
+        stars = checkpointed(stars.select(F.greatest("v", "w").alias("a"), F.least("v", "w").alias("b")).distinct())
+        tried = stars if tried is None else tried.union(stars)
+        found = _verified(stars, sets, num, den)
+        links = found if links is None else links.union(found)
+        known = checkpointed(components(links))
+
+    mixed = _mixed(entries, known).select("tok", "v", "n", "pos", "label")
+    # a pair is made at its first common shingle only
+    earlier = F.collect_list("tok").over(_by("v").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
+    mixed = checkpointed(mixed.withColumn("before", earlier))
     # the shorter set of a pair needs only its index prefix, the longer one its probe prefix
-    short = mixed.where(f"pos < n - cast(ceil({2 * num} * n / {num + den}) as long) + 1").select("tok", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("label").alias("label2"))
-    rest = mixed.join(short, "tok").where("label != label2 and (n > n2 or (n = n2 and v > v2))").where(_may_link("n", "pos", "n2", "pos2", num, den))
-    rest = rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = checkpointed(rest)
-    links = links.union(_verified(docs, rest, width, num, den)) if not rest.isEmpty() else links
+    short = mixed.where(f"pos < n - cast(ceil({2 * num} * n / {num + den}) as long) + 1").select("tok", *[F.col(c).alias(f"{c}2") for c in ("v", "n", "pos", "label", "before")])
+    rest = mixed.join(short, "tok").where("label != label2 and (n > n2 or (n = n2 and v > v2))").where(_may_link("n", "pos", "n2", "pos2", num, den)).where("not arrays_overlap(before, before2)")
+    rest = checkpointed(rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).join(tried, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        links = links.union(_verified(rest, sets, num, den))
 
     labels = components(links)
     least = members.where("n > 0").groupBy("v").agg(F.min("id").alias("id")).join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
@@ -285,9 +334,14 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return result.unionAll(members.where("n = 0").select("id", "n", "id")).withColumnRenamed("id", id_col)
 
 
-def _by(*names: str):
-    from pyspark.sql import Window
+def _mixed(entries: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Entries of buckets with several components: their label, and the bucket's least and greatest member by it."""
+    own = entries.withColumn("label", F.col("v")) if known is None else entries.join(known, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    member = F.struct("label", "v", "n", "pos")
+    return own.withColumns({"lo": F.min(member).over(_by("tok")), "hi": F.max(member).over(_by("tok"))}).where("lo.label != hi.label")
 
+
+def _by(*names: str):
     return Window.partitionBy(*names)
 
 
