@@ -132,8 +132,8 @@ def orphans(facts: DataFrame, dim: DataFrame, fk: str, pk: str) -> DataFrame:
 
 def split_bridge(df: DataFrame, row_id: str, column: str, name: str, sep: str = ";") -> DataFrame:
     """One row for each distinct non-empty item of a delimited column."""
-    items = F.explode(F.split(F.col(column), sep))
-    return df.select(row_id, F.trim(items).alias(name)).where(F.col(name) != "").distinct()
+    items = F.explode(F.transform(F.split(F.col(column), sep), F.trim))
+    return df.select(row_id, items.alias(name)).where(F.col(name) != "").distinct()
 
 
 def first_resolving(df: DataFrame, row_id: str, items: str, table: DataFrame, key: str, value: str) -> DataFrame:
