@@ -2,37 +2,20 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
+from ..shipping import ship
+
 #: Rows turned into Python objects at a time; an Arrow batch may hold many long texts.
 SLICE_ROWS = 256
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per Spark application."""
-    sc = spark.sparkContext
-    if getattr(sc, "_debatelake_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[2]
-    if (root / "debatelake").is_dir():
-        target = Path(os.path.realpath(tempfile.mkdtemp())) / "debatelake.zip"
-        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
-            for p in sorted((root / "debatelake").rglob("*.py")):
-                z.write(p, p.relative_to(root))
-        sc.addPyFile(str(target))
-    sc._debatelake_shipped = True
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage through a file in the shared checkpoint folder."""
     sc = df.sparkSession.sparkContext

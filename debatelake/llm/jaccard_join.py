@@ -11,12 +11,11 @@ that two sets above the threshold share a shingle of their short prefixes.
    are one vertex. Shingles of one vertex only are dropped.
 3. In two rounds each vertex is tried against one member of its largest
    bucket, and verified links give components. Then members of a bucket in
-   *different* components are paired under the length and positional filters,
-   each pair at its first common shingle, and verified. Pairs inside a known
+   *different* components are paired under the length and positional filters
+   and a bound by parities of hash ranges, and verified once. Pairs inside a known
    component need no check, so a group of thousands of near copies costs a
    star and not a clique, and no link between components is lost.
-4. Verification bounds the overlap by counts over hash ranges, then by the
-   suffix filter, and then counts it.
+4. Verification applies the suffix filter and then counts the overlap.
 """
 
 from __future__ import annotations
@@ -26,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,6 +98,23 @@ def _pylist(batch: pa.RecordBatch, name: str, step: int = 256) -> Iterator:
         yield from column.slice(i, step).to_pylist()
 
 
+def _text_hash(text: str | None) -> int:
+    return xxhash.xxh64_intdigest((text or "").encode()) - 2**63
+
+
+#: Hash ranges whose parities bound the difference of two sets before the sets are sent.
+PARTS = 512
+
+
+def _parities(grams: np.ndarray) -> list[int]:
+    """The parity of a set's shingles in each hash range, as words of 64 bits.
+
+    Two sets differ in at least as many shingles as their parities do in bits.
+    """
+    odd = (np.bincount((grams >> np.uint64(55)).astype(np.int64), minlength=PARTS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def _tally(counts: np.ndarray, held: list[np.ndarray]) -> None:
     if held:
         counts += np.bincount((np.concatenate(held) >> np.uint64(46)).astype(np.int64), minlength=SKETCH_WIDTH)
@@ -105,29 +122,32 @@ def _tally(counts: np.ndarray, held: list[np.ndarray]) -> None:
 
 
 def _first_pass(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (id, v, n) of documents, and rows (chunk, blob) of each task's sketch."""
+    """Rows (id, v, n, t, sig) of documents, and rows (chunk, blob) of each task's sketch."""
 
     def run(batches):
         memo, counts = WordHash(), np.zeros(SKETCH_WIDTH, np.int64)
         none = lambda n, kind: pa.nulls(n, kind)
+        names = ["id", "v", "n", "t", "sig", "chunk", "blob"]
         for batch in batches:
-            vs, ns, held = [], [], []
+            vs, ns, ts, sigs, held = [], [], [], [], []
             for text in _pylist(batch, "text"):
                 grams = shingles(text, width, memo)
                 held.append(grams)
+                ts.append(_text_hash(text))
+                sigs.append(_parities(grams))
                 vs.append(digest(grams))
                 ns.append(len(grams))
                 if len(held) == 256:
                     _tally(counts, held)
             _tally(counts, held)
             k = len(vs)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(vs, pa.binary()), pa.array(ns, pa.int64()), none(k, pa.int32()), none(k, pa.binary())], names=["id", "v", "n", "chunk", "blob"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(vs, pa.binary()), pa.array(ns, pa.int64()), pa.array(ts, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), none(k, pa.int32()), none(k, pa.binary())], names=names)
         chunks = [i for i in range(SKETCH_WIDTH // SKETCH_CHUNK) if counts[i * SKETCH_CHUNK : (i + 1) * SKETCH_CHUNK].any()]
         blobs = [np.minimum(counts[i * SKETCH_CHUNK : (i + 1) * SKETCH_CHUNK], 2**31 - 1).astype(np.int32).tobytes() for i in chunks]
         k = len(chunks)
-        yield pa.RecordBatch.from_arrays([none(k, pa.int64()), none(k, pa.binary()), none(k, pa.int64()), pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=["id", "v", "n", "chunk", "blob"])
+        yield pa.RecordBatch.from_arrays([none(k, pa.int64()), none(k, pa.binary()), none(k, pa.int64()), none(k, pa.int64()), none(k, pa.list_(pa.int64())), pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=names)
 
-    return docs.mapInArrow(run, "id long, v binary, n long, chunk int, blob binary")
+    return docs.mapInArrow(run, "id long, v binary, n long, t long, sig array<long>, chunk int, blob binary")
 
 
 def _sketch(blobs: DataFrame) -> np.ndarray:
@@ -180,20 +200,20 @@ _BLOOM_MIN, _BLOOM_MAX = 1 << 16, 1 << 27
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Rows (v, grams, parts) of the vertices in ``wanted``: the set and its counts by hash range.
+    """Rows (v, grams): the sets of the vertices in ``wanted`` (v, t), t the hash of one of its texts.
 
-    A bitmap of fixed size over the wanted digests drops nearly all other
-    documents in the map; the join on digests makes it exact.
+    A bitmap of fixed size over the hashes drops nearly all other documents
+    in the map before their shingles are made; the join makes it exact.
     """
     sc = docs.sparkSession.sparkContext
     wanted = checkpointed(wanted)
     bits = _BLOOM_MIN
     while bits < min(_BLOOM_MAX, 64 * wanted.count()):
         bits *= 2
-    at = F.pmod(F.conv(F.hex(F.substring("v", 1, 4)), 16, 10).cast("long"), F.lit(bits))
-    rows = wanted.select(at.alias("h")).groupBy(F.bitmap_bucket_number(F.col("h") + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("h") + 1)).alias("m")).collect()
+    at = F.pmod("t", F.lit(bits)) + 1  # the functions count from 1
+    rows = wanted.select(at.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("m")).collect()
     bitmap = bytearray(bits // 8 + 4096)
-    for row in rows:  # the functions count from 1
+    for row in rows:
         bitmap[(row.k - 1) * 4096 : row.k * 4096] = row.m
     shared = sc.broadcast(bytes(bitmap))
 
@@ -202,43 +222,24 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             vs, sets = [], []
             for text in _pylist(batch, "text"):
-                grams = shingles(text, width, memo)
-                v = digest(grams)
-                h = int.from_bytes(v[:4], "big") % bits
-                if bitmap[h >> 3] >> (h & 7) & 1 and v not in seen:
+                t = _text_hash(text)
+                h = t % bits
+                if bitmap[h >> 3] >> (h & 7) & 1 and t not in seen:
                     if len(seen) >= 200_000:
                         seen.clear()
-                    seen.add(v)
-                    vs.append(v)
+                    seen.add(t)
+                    grams = shingles(text, width, memo)
+                    vs.append(digest(grams))
                     sets.append(grams.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(vs, pa.binary()), pa.array(sets, pa.binary())], names=["v", "grams"])
 
-    found = docs.mapInArrow(run, "v binary, grams binary")
-    return found.join(wanted, "v", "left_semi").groupBy("v").agg(F.first("grams").alias("grams"))
-
-
-#: Hash ranges whose counts bound the overlap of two sets before the sets are sent.
-PARTS = 256
-
+    found = docs.select("text").mapInArrow(run, "v binary, grams binary")
+    return found.join(wanted.select("v"), "v", "left_semi").groupBy("v").agg(F.first("grams").alias("grams"))
 
-def _parts(sets: DataFrame) -> DataFrame:
-    """Rows (v, parts): how many of a set's shingles lie in each hash range."""
 
-    def run(batches):
-        for batch in batches:
-            parts = [np.bincount((np.frombuffer(g, np.uint64) >> np.uint64(56)).astype(np.int64), minlength=PARTS).astype(np.uint16 if len(g) < 8 * 65_536 else np.uint32).tobytes() for g in _pylist(batch, "grams")]
-            yield pa.RecordBatch.from_arrays([batch.column("v"), pa.array(parts, pa.binary())], names=["v", "parts"])
-
-    return sets.select("v", "grams").mapInArrow(run, "v binary, parts binary")
-
-
-def _counts_of(parts: bytes) -> np.ndarray:
-    return np.frombuffer(parts, np.uint16 if len(parts) == 2 * PARTS else np.uint32).astype(np.int64)
-
-
-def _tested(pairs: DataFrame, sets: DataFrame, name: str, test) -> DataFrame:
-    """The pairs (a, b) whose values in ``sets`` pass a test."""
-    x, y = (sets.select(F.col("v").alias(side), F.col(name).alias(f"g{side}")) for side in "ab")
+def _tested(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) whose sets pass a test."""
+    x, y = (sets.select(F.col("v").alias(side), F.col("grams").alias(f"g{side}")) for side in "ab")
     both = pairs.join(x, "a").join(y, "b").select("a", "b", "ga", "gb")
 
     def run(batches):
@@ -249,15 +250,12 @@ def _tested(pairs: DataFrame, sets: DataFrame, name: str, test) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs that link: bounded by their parts, then tested once on whole sets."""
-
-    def bounded(p: bytes, q: bytes) -> bool:
-        p, q = _counts_of(p), _counts_of(q)
-        return int(np.minimum(p, q).sum()) >= needed_overlap(int(p.sum()), int(q.sum()), num, den)
-
-    kept = _tested(pairs, _parts(sets), "parts", bounded)
-    return checkpointed(_tested(kept, sets, "grams", lambda g, h: similar(np.frombuffer(g, np.uint64), np.frombuffer(h, np.uint64), num, den)))
+def _verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """The pairs that link, each tested once on its whole sets."""
+    pairs = checkpointed(pairs)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    sets = _sets(docs, ends.join(vertices.select("v", "t"), "v"), width)
+    return checkpointed(_tested(pairs, sets, lambda g, h: similar(np.frombuffer(g, np.uint64), np.frombuffer(h, np.uint64), num, den)))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -300,7 +298,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     buckets = F.count("*").over(_by("tok"))
     entries = _prefixes(docs, width, num, den, counts).repartition("tok").groupBy("tok", "v").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
     entries = checkpointed(entries.withColumn("size", buckets).where("size > 1"))
-    sets = checkpointed(_sets(docs, entries.select("v").distinct(), width))
+    texts = first.where("n > 0").join(entries.select("v").distinct(), "v", "left_semi")
+    vertices = checkpointed(texts.groupBy("v").agg(F.min("t").alias("t"), F.first("n").alias("n"), F.first("sig").alias("sig")))
 
     links, known, tried = None, None, None
     for _ in range(STAR_ROUNDS):
@@ -310,20 +309,19 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         stars = ends.groupBy("v").agg(F.max_by("other.v", F.struct("size", "tok")).alias("w"))
         stars = checkpointed(stars.select(F.greatest("v", "w").alias("a"), F.least("v", "w").alias("b")).distinct())
         tried = stars if tried is None else tried.union(stars)
-        found = _verified(stars, sets, num, den)
+        x, y = (vertices.select(F.col("v").alias(e), F.col("n").alias(f"n{e}"), F.col("sig").alias(f"sig{e}")) for e in "ab")
+        stars = stars.join(x, "a").join(y, "b").where(_may_be_near("na", "siga", "nb", "sigb", num, den)).select("a", "b")
+        found = _verified(docs, stars, vertices, width, num, den)
         links = found if links is None else links.union(found)
         known = checkpointed(components(links))
 
-    mixed = _mixed(entries, known).select("tok", "v", "n", "pos", "label")
-    # a pair is made at its first common shingle only
-    earlier = F.collect_list("tok").over(_by("v").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    mixed = checkpointed(mixed.withColumn("before", earlier))
+    mixed = checkpointed(_mixed(entries, known).select("tok", "v", "n", "pos", "label").join(vertices.select("v", "sig"), "v"))
     # the shorter set of a pair needs only its index prefix, the longer one its probe prefix
-    short = mixed.where(f"pos < n - cast(ceil({2 * num} * n / {num + den}) as long) + 1").select("tok", *[F.col(c).alias(f"{c}2") for c in ("v", "n", "pos", "label", "before")])
-    rest = mixed.join(short, "tok").where("label != label2 and (n > n2 or (n = n2 and v > v2))").where(_may_link("n", "pos", "n2", "pos2", num, den)).where("not arrays_overlap(before, before2)")
-    rest = checkpointed(rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).join(tried, ["a", "b"], "left_anti"))
+    short = mixed.where(f"pos < n - cast(ceil({2 * num} * n / {num + den}) as long) + 1").select("tok", *[F.col(c).alias(f"{c}2") for c in ("v", "n", "pos", "label", "sig")])
+    rest = mixed.join(short, "tok").where("label != label2 and (n > n2 or (n = n2 and v > v2))").where(_may_link("n", "pos", "n2", "pos2", num, den)).where(_may_be_near("n", "sig", "n2", "sig2", num, den))
+    rest = checkpointed(rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        links = links.union(_verified(rest, sets, num, den))
+        links = links.union(_verified(docs, rest, vertices, width, num, den))
 
     labels = components(links)
     least = members.where("n > 0").groupBy("v").agg(F.min("id").alias("id")).join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
@@ -345,6 +343,12 @@ def _by(*names: str):
     return Window.partitionBy(*names)
 
 
+def _may_be_near(n: str, sig: str, m: str, msig: str, num: int, den: int) -> str:
+    """The bound on the overlap by parities."""
+    bits = " + ".join(f"bit_count({sig}[{i}] ^ {msig}[{i}])" for i in range(PARTS // 64))
+    return f"({n} + {m} - ({bits})) * {num + den} >= {2 * num} * ({n} + {m})"
+
+
 def _may_link(n: str, pos: str, m: str, mpos: str, num: int, den: int) -> str:
     """The length filter, and the positional one for the first common shingle."""
     return f"{den} * least({n}, {m}) >= {num} * greatest({n}, {m}) and (1 + least({n} - {pos} - 1, {m} - {mpos} - 1)) * {num + den} >= {num} * ({n} + {m})"

@@ -73,10 +73,15 @@ class PieceCodec:
         self._compatible: dict[tuple[str, str], bool] = {}
         self._segments: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
-        # where no piece mixes letters with other characters, strings also part between the two
+        # where no piece mixes letters with other characters, strings also part between the two;
+        # letters of the few mixed pieces count as other characters, if that leaves none mixed
+        letter, other = rf"[^{MARK}\n]+", rf"[^{MARK}\n]+"
         of = re.compile(r"[^\W\d_]").match
-        pure = all(len({of(c) is None for c in p.lstrip(MARK)}) < 2 for p in self.id_of)
-        letter, other = (r"[^\W\d_]+", rf"(?:(?![^\W\d_])[^{MARK}\n])+") if pure else (rf"[^{MARK}\n]+",) * 2
+        kinds = lambda p, odd: {bool(of(c)) and c not in odd for c in p.lstrip(MARK)}
+        odd = {c for p in self.id_of if len(kinds(p, "")) > 1 for c in p if of(c)}
+        if all(len(kinds(p, odd)) < 2 for p in self.id_of):
+            inner = rf"[^\W\d_{re.escape(''.join(sorted(odd)))}]"
+            letter, other = f"{inner}+", rf"(?:(?!{inner})[^{MARK}\n])+"
         self._split = re.compile(rf"{MARK}+(?:{letter}|{other})?|{letter}|{other}|\n" if "\n" not in self.chars else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def merged(self, text: str) -> list[str]:
