@@ -8,7 +8,7 @@ REACTION_WORDS = (
     r"c['’ ]est\s+vrai",
 )
 # Honorifics that a speaker's label may open with.
-HONORIFICS = ("m", "mm", "mr", "mme", "mmes", "mlle", "monsieur", "madame", "le", "la", "president", "presidente")
+HONORIFICS = ("m", "mm", "mr", "mme", "mmes", "mlle", "monsieur", "madame")
 SPEAKER_MARKS = ("M.", "Mme", "Mmes", "MM.", "Mlle", "Monsieur", "Madame")
 # Labels of whoever chairs a sitting.
 CHAIR_KEYS = ("president", "le president", "la presidente", "monsieur le president", "madame la presidente")

@@ -10,6 +10,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from .. import config as C
@@ -23,13 +24,13 @@ def fold_key(text: str | None) -> str:
     return _GAP.sub(" ", "".join(c for c in t if not unicodedata.combining(c))).strip()
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def unicode_key(x: pd.Series) -> pd.Series:
     """``fold_key`` of each text, each distinct one folded once."""
     return x.map({v: fold_key(v) for v in x.unique()})
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two keys: 1 if equal, 0 if either is empty."""
 
@@ -39,12 +40,12 @@ def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def unescape_html(x: pd.Series) -> pd.Series:
     return x.map(lambda v: v if v is None else " ".join(html.unescape(v).split()))
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _compose(x: pd.Series) -> pd.Series:
     return x.map(lambda v: v if v is None else unicodedata.normalize("NFKC", v))
 

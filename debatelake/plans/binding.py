@@ -32,7 +32,7 @@ def bind(speeches: DataFrame, politician: DataFrame, mandate: DataFrame, aliases
     day = F.coalesce(V.mixed_date(F.col("date")), V.date_in_name(F.col("source_files")))
     source = F.when(V.mixed_date(F.col("date")).isNotNull(), "date").when(V.date_in_name(F.col("source_files")).isNotNull(), "source_file").otherwise("missing")
     rows = speeches.withColumns({"bind_date": day, "bind_date_source": source, "_key": X.person_key(unicode_key(F.col("speaker"))), "_link": F.coalesce(F.col("link_speaker"), F.lit(""))})
-    chair = unicode_key(F.col("speaker")).isin(*C.CHAIR_KEYS)
+    chair = F.col("_key").isin(*C.CHAIR_KEYS)
     status = F.when(chair, "president").when(F.col("bind_date").isNull(), "missing_date").when(F.col("_key") == "", "missing_speaker").otherwise("unmatched")
     rows = rows.withColumn("_initial", status)
     asks = rows.where("_initial = 'unmatched'").select("_key", "_link", "bind_date").distinct()

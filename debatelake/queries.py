@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import config as C
 from .functions import text as X
 from .functions import values as V
 from .operators import aggregates as A
 from .operators import joins as J
 from .operators import windows as W
+from .shipping import ship
 from .sources import html_pages as H
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +21,11 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def put(f):
-        QUERIES[f.__name__] = f
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLES[f.__name__] = sql
         return f

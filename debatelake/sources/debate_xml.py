@@ -109,7 +109,7 @@ def parse_debates(files: DataFrame) -> DataFrame:
 
 def sitting_numbers(files: DataFrame) -> DataFrame:
     """File name and sitting number, natively; malformed XML must have been left out."""
-    xml = F.decode("content", F.lit("UTF-8"))
+    xml = F.decode("content", "UTF-8")
     number = F.xpath_string(xml, F.lit('//*[local-name()="NumSeance" or local-name()="NumSeanceJour"][1]'))
     return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.nullif(F.trim(number), F.lit("")).alias("numSeance")).where("numSeance is not null")
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from .. import schemas
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType) -> DataFrame:
     """CSV with a header and quoted texts over several lines."""
     return spark.read.csv(path, schema=schema, header=True, multiLine=True, quote='"', escape='"')
 
@@ -21,7 +21,7 @@ def read_csv_strings(spark: SparkSession, path: str, columns: Sequence[str]) ->
     return read_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in columns])).na.fill("")
 
 
-def read_years(spark: SparkSession, paths: dict[int, str], schema: T.StructType) -> DataFrame:
+def read_years(spark: SparkSession, paths: dict[int, str], schema: str | T.StructType) -> DataFrame:
     """Yearly files with a ``source_year``; a missing file fails."""
     out = None
     for year, path in sorted(paths.items()):

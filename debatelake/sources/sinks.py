@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], dry_run: bool = False) -> int:
@@ -46,8 +47,8 @@ def load_jdbc(tables: dict[str, DataFrame], url: str, properties: dict[str, str]
         df.write.jdbc(url, name, mode="append", properties=properties)
 
 
-def ddl(name: str, schema, key: Sequence[str] = ()) -> str:
+def ddl(name: str, schema: str, key: Sequence[str] = ()) -> str:
     """A table's definition in ANSI SQL."""
     kinds = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE", "double": "DOUBLE PRECISION", "boolean": "BOOLEAN"}
-    lines = [f"  {f.name} {kinds.get(f.dataType.simpleString(), f.dataType.simpleString().upper())}" for f in schema]
+    lines = [f"  {f.name} {kinds.get(f.dataType.simpleString(), f.dataType.simpleString().upper())}" for f in T.StructType.fromDDL(schema)]
     return f"CREATE TABLE {name} (\n" + ",\n".join(lines + ([f"  PRIMARY KEY ({', '.join(key)})"] if key else [])) + "\n)"
