@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, checkpointed, col, ship, table_size
+from .common import attach, checkpointed, col, ship
 
 #: Buckets of hashed trigrams.
 BITS = 16
@@ -174,7 +174,7 @@ def _fused(scored: DataFrame, languages: list[str], m: int, carry: list[str], fl
     scored = scored.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
     priors = host_priors(scored.where("n > 0").select("host", "domain", _posterior(F.col("logs")).alias("p")), m)
     priors = checkpointed(priors)
-    if table_size(priors) <= BROADCAST_LIMIT:
+    if priors.count() * (8 * m + 256) <= BROADCAST_LIMIT:
         priors = F.broadcast(priors)
     joined = scored.join(priors, "host", "left")
     flat = F.array(*[F.lit(float(-np.log(m)))] * m)
