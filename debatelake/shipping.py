@@ -10,8 +10,14 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Rows in an Arrow batch, unless the session sets it: texts are long.
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, once per Spark application."""
+    """Send this package to the executors, once per Spark application, and keep Arrow batches small."""
+    if spark.conf.get(ARROW_ROWS[0]) == "10000":
+        spark.conf.set(*ARROW_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_debatelake_shipped", False):
         return
