@@ -12,9 +12,11 @@ that two sets above the threshold share a shingle of their short prefixes.
 3. In two rounds each vertex is tried against one member of its largest
    bucket, and verified links give components. Then members of a bucket in
    *different* components are paired under the length and positional filters
-   and a bound by parities of hash ranges, and verified once. Pairs inside a known
-   component need no check, so a group of thousands of near copies costs a
-   star and not a clique, and no link between components is lost.
+   and a bound by parities of hash ranges. First each vertex's pair with the
+   least such difference is verified, then the pairs whose ends these links
+   have left apart. Pairs inside a known component need no check, so a group of
+   thousands of near copies costs a star and not a clique, and no link between
+   components is lost.
 4. Verification applies the suffix filter and then counts the overlap.
 """
 
@@ -35,6 +37,8 @@ from .common import WordHash, checkpointed, col, ship
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Rounds in which each vertex tries one member of another component.
 STAR_ROUNDS = 2
+#: Rounds in which each vertex tries its likeliest pair before all remaining pairs are verified.
+MERGE_ROUNDS = 1
 #: Counters of the sketch and how many travel in one row.
 SKETCH_WIDTH, SKETCH_CHUNK = 1 << 18, 1 << 14
 _A, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -319,9 +323,16 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # the shorter set of a pair needs only its index prefix, the longer one its probe prefix
     short = mixed.where(f"pos < n - cast(ceil({2 * num} * n / {num + den}) as long) + 1").select("tok", *[F.col(c).alias(f"{c}2") for c in ("v", "n", "pos", "label", "sig")])
     rest = mixed.join(short, "tok").where("label != label2 and (n > n2 or (n = n2 and v > v2))").where(_may_link("n", "pos", "n2", "pos2", num, den)).where(_may_be_near("n", "sig", "n2", "sig2", num, den))
-    rest = checkpointed(rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    gap = F.expr(f"({_parity_gap('sig', 'sig2')}) / (n + n2)")
+    rest = checkpointed(rest.select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b"), gap.alias("gap")).distinct().join(tried, ["a", "b"], "left_anti"))
+    for _ in range(MERGE_ROUNDS):
+        if rest.isEmpty():
+            break
+        nearest = checkpointed(_nearest(rest))
+        links = links.union(_verified(docs, nearest, vertices, width, num, den))
+        rest = checkpointed(_apart(rest.join(nearest, ["a", "b"], "left_anti"), components(links)))
     if not rest.isEmpty():
-        links = links.union(_verified(docs, rest, vertices, width, num, den))
+        links = links.union(_verified(docs, rest.select("a", "b"), vertices, width, num, den))
 
     labels = components(links)
     least = members.where("n > 0").groupBy("v").agg(F.min("id").alias("id")).join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
@@ -339,14 +350,32 @@ def _mixed(entries: DataFrame, known: DataFrame | None) -> DataFrame:
     return own.withColumns({"lo": F.min(member).over(_by("tok")), "hi": F.max(member).over(_by("tok"))}).where("lo.label != hi.label")
 
 
+def _nearest(pairs: DataFrame) -> DataFrame:
+    """The pair (a, b) of least gap of each vertex; of equal ones that with the least partner."""
+    ends = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("w"), "gap"), F.struct(F.col("b").alias("v"), F.col("a").alias("w"), "gap"))).alias("e")).select("e.*")
+    best = ends.groupBy("v").agg(F.min_by("w", F.struct("gap", "w")).alias("w"))
+    return best.select(F.greatest("v", "w").alias("a"), F.least("v", "w").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b, gap) whose ends are in different components."""
+    x, y = (labels.select(F.col("v").alias(e), F.col("label").alias(f"label{e}")) for e in "ab")
+    both = pairs.join(x, "a", "left").join(y, "b", "left")
+    return both.where(F.coalesce("labela", "a") != F.coalesce("labelb", "b")).select("a", "b", "gap")
+
+
 def _by(*names: str):
     return Window.partitionBy(*names)
 
 
 def _may_be_near(n: str, sig: str, m: str, msig: str, num: int, den: int) -> str:
     """The bound on the overlap by parities."""
-    bits = " + ".join(f"bit_count({sig}[{i}] ^ {msig}[{i}])" for i in range(PARTS // 64))
-    return f"({n} + {m} - ({bits})) * {num + den} >= {2 * num} * ({n} + {m})"
+    return f"({n} + {m} - ({_parity_gap(sig, msig)})) * {num + den} >= {2 * num} * ({n} + {m})"
+
+
+def _parity_gap(sig: str, msig: str) -> str:
+    """How many shingles two sets differ in at least, by their parities."""
+    return " + ".join(f"bit_count({sig}[{i}] ^ {msig}[{i}])" for i in range(PARTS // 64))
 
 
 def _may_link(n: str, pos: str, m: str, mpos: str, num: int, den: int) -> str:
