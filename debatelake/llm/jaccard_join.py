@@ -8,7 +8,7 @@ that two sets above the threshold share a shingle of their short prefixes.
    counters of a fixed-width frequency sketch. Any order is correct; the
    sketch's counts over the whole corpus make it a rare-first one.
 2. A second pass emits prefix shingles, once per task and digest: equal sets
-   are one vertex. Shingles of one vertex only are dropped.
+   are one vertex. Shingles without two vertices of similar size are dropped.
 3. In two rounds each vertex is tried against one member of its largest
    bucket, and verified links give components. Then members of a bucket in
    *different* components are paired under the length and positional filters
@@ -17,7 +17,8 @@ that two sets above the threshold share a shingle of their short prefixes.
    have left apart. Pairs inside a known component need no check, so a group of
    thousands of near copies costs a star and not a clique, and no link between
    components is lost.
-4. Verification applies the suffix filter and then counts the overlap.
+4. Verification bounds the difference of long sets by parities of finer ranges,
+   applies the suffix filter and then counts the overlap.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 STAR_ROUNDS = 2
 #: Rounds in which each vertex tries its likeliest pair before all remaining pairs are verified.
 MERGE_ROUNDS = 1
+#: Most rows (v, label) of components that are broadcast: about 10 MB; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 #: Counters of the sketch and how many travel in one row.
 SKETCH_WIDTH, SKETCH_CHUNK = 1 << 18, 1 << 14
 _A, _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -119,6 +122,23 @@ def _parities(grams: np.ndarray) -> list[int]:
     return np.packbits(odd).view(np.int64).tolist()
 
 
+def _fine_parities(grams: np.ndarray) -> bytes | None:
+    """The parities of a set of over PARTS shingles in as many ranges as the power of two from its size."""
+    if len(grams) <= PARTS:
+        return None
+    bits = (len(grams) - 1).bit_length()
+    odd = np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _fine_gap(x: bytes, y: bytes) -> int:
+    """How many shingles two sets differ in at least, at the coarser of their ranges."""
+    odd = [np.unpackbits(np.frombuffer(z, np.uint8)) for z in (x, y)]
+    ranges = min(map(len, odd))
+    x, y = (np.bitwise_xor.reduce(z.reshape(ranges, -1), axis=1) for z in odd)
+    return int(np.count_nonzero(x != y))
+
+
 def _tally(counts: np.ndarray, held: list[np.ndarray]) -> None:
     if held:
         counts += np.bincount((np.concatenate(held) >> np.uint64(46)).astype(np.int64), minlength=SKETCH_WIDTH)
@@ -126,32 +146,33 @@ def _tally(counts: np.ndarray, held: list[np.ndarray]) -> None:
 
 
 def _first_pass(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (id, v, n, t, sig) of documents, and rows (chunk, blob) of each task's sketch."""
+    """Rows (id, v, n, t, sig, fine) of documents, and rows (chunk, blob) of each task's sketch."""
 
     def run(batches):
         memo, counts = WordHash(), np.zeros(SKETCH_WIDTH, np.int64)
         none = lambda n, kind: pa.nulls(n, kind)
-        names = ["id", "v", "n", "t", "sig", "chunk", "blob"]
+        names = ["id", "v", "n", "t", "sig", "fine", "chunk", "blob"]
         for batch in batches:
-            vs, ns, ts, sigs, held = [], [], [], [], []
+            vs, ns, ts, sigs, fine, held = [], [], [], [], [], []
             for text in _pylist(batch, "text"):
                 grams = shingles(text, width, memo)
                 held.append(grams)
                 ts.append(_text_hash(text))
                 sigs.append(_parities(grams))
+                fine.append(_fine_parities(grams))
                 vs.append(digest(grams))
                 ns.append(len(grams))
                 if len(held) == 256:
                     _tally(counts, held)
             _tally(counts, held)
             k = len(vs)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(vs, pa.binary()), pa.array(ns, pa.int64()), pa.array(ts, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), none(k, pa.int32()), none(k, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(vs, pa.binary()), pa.array(ns, pa.int64()), pa.array(ts, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(fine, pa.binary()), none(k, pa.int32()), none(k, pa.binary())], names=names)
         chunks = [i for i in range(SKETCH_WIDTH // SKETCH_CHUNK) if counts[i * SKETCH_CHUNK : (i + 1) * SKETCH_CHUNK].any()]
         blobs = [np.minimum(counts[i * SKETCH_CHUNK : (i + 1) * SKETCH_CHUNK], 2**31 - 1).astype(np.int32).tobytes() for i in chunks]
         k = len(chunks)
-        yield pa.RecordBatch.from_arrays([none(k, pa.int64()), none(k, pa.binary()), none(k, pa.int64()), none(k, pa.int64()), none(k, pa.list_(pa.int64())), pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([none(k, pa.int64()), none(k, pa.binary()), none(k, pa.int64()), none(k, pa.int64()), none(k, pa.list_(pa.int64())), none(k, pa.binary()), pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=names)
 
-    return docs.mapInArrow(run, "id long, v binary, n long, t long, sig array<long>, chunk int, blob binary")
+    return docs.mapInArrow(run, "id long, v binary, n long, t long, sig array<long>, fine binary, chunk int, blob binary")
 
 
 def _sketch(blobs: DataFrame) -> np.ndarray:
@@ -256,12 +277,28 @@ def _tested(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """The pairs that link, each tested once on its whole sets."""
-    pairs = checkpointed(pairs)
+    pairs = checkpointed(_finely_near(pairs, vertices, num, den))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     sets = _sets(docs, ends.join(vertices.select("v", "t"), "v"), width)
     return checkpointed(_tested(pairs, sets, lambda g, h: similar(np.frombuffer(g, np.uint64), np.frombuffer(h, np.uint64), num, den)))
 
 
+def _finely_near(pairs: DataFrame, vertices: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) but those of long sets whose fine parities differ in too many bits."""
+    long = vertices.where("fine is not null")
+    x, y = (long.select(F.col("v").alias(e), F.col("n").alias(f"n{e}"), F.col("fine").alias(f"fine{e}")) for e in "ab")
+    both = pairs.join(x, "a", "left").join(y, "b", "left").select("a", "b", "na", "nb", "finea", "fineb")
+
+    def run(batches):
+        for batch in batches:
+            sizes = zip(batch.column("na").to_pylist(), batch.column("nb").to_pylist())
+            fine = zip(_pylist(batch, "finea"), _pylist(batch, "fineb"))
+            ok = [g is None or h is None or (n + m - _fine_gap(g, h)) * (num + den) >= 2 * num * (n + m) for (n, m), (g, h) in zip(sizes, fine)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return both.mapInArrow(run, "a binary, b binary")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): rows (v, label), label the least vertex.
 
@@ -301,9 +338,12 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     buckets = F.count("*").over(_by("tok"))
     entries = _prefixes(docs, width, num, den, counts).repartition("tok").groupBy("tok", "v").agg(F.first("n").alias("n"), F.first("pos").alias("pos"))
-    entries = checkpointed(entries.withColumn("size", buckets).where("size > 1"))
+    # by size, a neighbour in the bucket is the closest there is
+    by_size = _by("tok").orderBy("n")
+    entries = entries.withColumns({"size": buckets, "less": F.lag("n").over(by_size), "more": F.lead("n").over(by_size)})
+    entries = checkpointed(entries.where(f"{den} * less >= {num} * n or {den} * n >= {num} * more").drop("less", "more"))
     texts = first.where("n > 0").join(entries.select("v").distinct(), "v", "left_semi")
-    vertices = checkpointed(texts.groupBy("v").agg(F.min("t").alias("t"), F.first("n").alias("n"), F.first("sig").alias("sig")))
+    vertices = checkpointed(texts.groupBy("v").agg(F.min("t").alias("t"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("fine").alias("fine")))
 
     links, known, tried = None, None, None
     for _ in range(STAR_ROUNDS):
@@ -345,7 +385,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _mixed(entries: DataFrame, known: DataFrame | None) -> DataFrame:
     """Entries of buckets with several components: their label, and the bucket's least and greatest member by it."""
-    own = entries.withColumn("label", F.col("v")) if known is None else entries.join(known, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    if known is None:
+        own = entries.withColumn("label", F.col("v"))
+    else:
+        small = known.count() <= BROADCAST_ROWS
+        own = entries.join(F.broadcast(known) if small else known, "v", "left").withColumn("label", F.coalesce("label", "v"))
     member = F.struct("label", "v", "n", "pos")
     return own.withColumns({"lo": F.min(member).over(_by("tok")), "hi": F.max(member).over(_by("tok"))}).where("lo.label != hi.label")
 
