@@ -403,13 +403,13 @@ def normalize_key(spark, d):
 
 @query()
 def clean_title(spark, d):
-    return _lines(spark, d).where("length(line) < 120").select("doc_id", "pos", X.clean_title(F.col("line")).alias("title"))
+    return _lines(spark, d).select("doc_id", "pos", X.clean_title(F.col("line")).alias("title"))
 
 
 @query()
 def topic_match(spark, d):
     x = F.concat((F.col("pos") % 30).cast("string"), F.lit(" "), F.upper("line"))
-    return _lines(spark, d).where("length(line) < 160").select("doc_id", "pos", X.match_major_topic(x)["title"].alias("major"), X.match_subtopic(F.upper("line")).alias("sub"))
+    return _lines(spark, d).select("doc_id", "pos", X.match_major_topic(x)["title"].alias("major"), X.match_subtopic(F.upper("line")).alias("sub"))
 
 
 @query("select p_partkey, p_type as parts, len(string_split(p_type, ' ')) as n from part")
