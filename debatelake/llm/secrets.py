@@ -5,9 +5,10 @@ Under the hypothesis that it is a uniform random string, chi-squared tests of
 its symbols and of its character classes, a runs test about the median and a
 lag-1 serial correlation test give p-values, which Sidak's rule combines.
 Ordinary tokens pile up near 0 and random ones spread evenly over 0 to 1.
-For each class of length and encoding, counts over the whole corpus estimate
-how many of the tokens above a p-value are false finds; the least p-value
-that keeps their share within the level is that class's threshold.
+For each class of length and encoding, counts of the corpus's distinct tokens
+estimate how many of those above a p-value are false finds; the least p-value
+that keeps their share within the level is that class's threshold. Classes
+with few tokens borrow the counts of the nearest lengths.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from bisect import bisect_right
 from collections.abc import Iterable
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,8 @@ ENCODINGS = (
 )
 LENGTHS = (20, 24, 32, 48, 64, 128, 1024)
 STEPS = 100
+#: Tokens in the upper half of the p-values below which a class borrows those of other lengths.
+POOL_LEAST = 100
 
 
 def infer(token: str) -> tuple[str, str, tuple[str, ...]] | None:
@@ -113,19 +117,47 @@ def length_class(n: int) -> int:
 def thresholds(counts: dict[tuple[str, int], dict[int, int]], level: float) -> dict[tuple[str, int], float]:
     """Least p-value of each class that keeps the share of false finds within the level.
 
-    ``counts`` has, per class, the number of tokens in each of STEPS bins of
-    p-values. Random tokens are even over the bins; their number a bin is
-    taken from the upper half. Short tokens have weak tests, so their classes
-    need a stricter threshold than those of long ones get.
+    ``counts`` has, per class, the number of distinct tokens in each of STEPS
+    bins of p-values. Random tokens are even over the bins; their number a bin
+    is taken from the upper half. Short tokens have weak tests, so their
+    classes need a stricter threshold than those of long ones get. A class
+    with less than POOL_LEAST tokens in the upper half is pooled with the
+    nearest lengths of its encoding, then with the other encodings. If even
+    that is too few, an excess of false finds counts only beyond two standard
+    errors, and the threshold is the level at least.
     """
     out = {}
-    for key, bins in counts.items():
-        upper = sum(bins.get(b, 0) for b in range(STEPS // 2, STEPS))
-        each = upper / (STEPS - STEPS // 2)
-        out[key] = 1.0 if not upper else min((b / STEPS for b in range(1, STEPS // 2 + 1) if (all_ := sum(bins.get(x, 0) for x in range(b, STEPS))) and max(0.0, all_ - each * (STEPS - b)) <= level * all_), default=0.5)
+    for key in counts:
+        bins = _pooled(counts, key)
+        upper = sum(bins[STEPS // 2 :])
+        sparse = upper < POOL_LEAST
+        out[key] = 0.5
+        for b in range(max(1, math.ceil(level * STEPS)) if sparse else 1, STEPS // 2):
+            all_ = sum(bins[b:])
+            share = (STEPS // 2 - b) / (STEPS - STEPS // 2)
+            low = all_ - upper
+            excess = low - upper * share
+            error = 2 * math.sqrt(low + upper * share * share) if sparse else 0.0
+            if all_ and excess - error <= level * all_:
+                out[key] = b / STEPS
+                break
     return out
 
 
+def _pooled(counts: dict[tuple[str, int], dict[int, int]], key: tuple[str, int]) -> list[int]:
+    """Counts by bin of a class and, while its upper half has too few, of the classes nearest to it."""
+    far = lambda other: (other[0] != key[0], abs(LENGTHS.index(other[1]) - LENGTHS.index(key[1])))
+    bins, reached = [0] * STEPS, None
+    for other in sorted(counts, key=lambda k: (far(k), k)):
+        # classes equally far come in together
+        if far(other) != reached and sum(bins[STEPS // 2 :]) >= POOL_LEAST:
+            break
+        reached = far(other)
+        for b, n in counts[other].items():
+            bins[b] += n
+    return bins
+
+
 def base_spans(data: bytes) -> list[tuple[int, int, str]]:
     """Byte spans of the base kinds."""
     found = []
@@ -177,23 +209,26 @@ def redact(text: str, found: list[tuple[int, int, str]], mask: str) -> str:
 
 
 def learn_thresholds(docs: DataFrame, text_col: str = "text", level: float = 0.05) -> dict[tuple[str, int], float]:
-    """Thresholds from the p-values of every token in the corpus.
+    """Thresholds from the p-values of every distinct token in the corpus.
 
     At most len(ENCODINGS) * len(LENGTHS) * STEPS counts reach the driver.
+    Tokens are told apart by a hash of 64 bits.
     """
     ship(docs.sparkSession)
 
     def run(batches):
-        sums: dict[tuple[str, int, int], int] = {}
         for batch in batches:
+            found: dict[int, tuple[str, int, int]] = {}
             for i in range(0, batch.num_rows, 256):
                 for text in batch.column("text").slice(i, 256).to_pylist():
-                    for a, b, name, p in tokens((text or "").encode()):
-                        key = name, length_class(b - a), min(int(p * STEPS), STEPS - 1)
-                        sums[key] = sums.get(key, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()), pa.array([k[2] for k in sums], pa.int32()), pa.array(list(sums.values()), pa.int64())], names=["encoding", "length", "bin", "n"])
-
-    rows = docs.select(col(text_col).alias("text")).mapInArrow(run, "encoding string, length int, bin int, n long").groupBy("encoding", "length", "bin").agg(F.sum("n").alias("n")).collect()
+                    data = (text or "").encode()
+                    for a, b, name, p in tokens(data):
+                        found[xxhash.xxh64_intdigest(data[a:b]) - 2**63] = name, length_class(b - a), min(int(p * STEPS), STEPS - 1)
+            names, lengths, bins = zip(*found.values()) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(lengths, pa.int32()), pa.array(bins, pa.int32()), pa.array(list(found), pa.int64())], names=["encoding", "length", "bin", "token"])
+
+    found = docs.select(col(text_col).alias("text")).mapInArrow(run, "encoding string, length int, bin int, token long").distinct()
+    rows = found.groupBy("encoding", "length", "bin").agg(F.count("*").alias("n")).collect()
     counts: dict[tuple[str, int], dict[int, int]] = {}
     for r in rows:
         counts.setdefault((r.encoding, r.length), {})[r.bin] = r.n
