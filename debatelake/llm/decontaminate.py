@@ -187,7 +187,8 @@ def find_benchmark(
                     s, x = block.spans(ids)
                     if before:
                         s0, x0 = next(before)
-                        s, x = s + [(p["start"], p["end"]) for p in s0], x | set(x0)
+                        # ids of earlier blocks are strings; an item's texts may be in several blocks
+                        s, x = s + [(p["start"], p["end"]) for p in s0], {str(i) for i in x} | set(x0)
                     n.append(len(ids))
                     spans.append([{"start": a, "end": b} for a, b in merged(s)])
                     items.append(sorted(map(str, x)))
