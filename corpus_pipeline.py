@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from debatelake.llm.common import checkpointed
 from debatelake.llm.decontaminate import contamination, find_benchmark
 from debatelake.llm.jaccard_join import ngram_jaccard_join
 from debatelake.llm.language_id import identify_language, train_text_model
@@ -31,15 +32,24 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group linked by five-word shingles at 0.8.
+    """The row with the least id of each group linked by five-word shingles at 0.8.
 
-    Documents without words are groups of their own. Of rows that repeat an
-    id, the one with the least text stays.
+    Rows are told apart by id and text: rows that repeat an id are judged each
+    by its own text, and a null id comes after all others. Of one id's rows in
+    a group the one with the least hash stays, and of equal rows any one. Each
+    row without words or links is a group of its own.
     """
-    groups = ngram_jaccard_join(docs, width=5, threshold=(8, 10))
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi")
-    return one.select(*docs.columns)
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    groups = ngram_jaccard_join(keyed, "row_key", width=5, threshold=(8, 10))
+    groups = groups.groupBy("row_key").agg(F.first("component_id").alias("component_id"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
+    ids = keyed.groupBy("row_key").agg(F.min("doc_id").alias("doc_id"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    least = groups.where("n_shingles > 0").join(ids, "row_key").groupBy("component_id").agg(F.min_by(F.struct("row_key", "copies"), order).alias("kept"))
+    # rows without words all stay, so their copies do not count
+    kept = checkpointed(least.select("kept.*").union(groups.where("n_shingles = 0").select("row_key", F.lit(1).cast("long"))))
+    single = keyed.join(kept.where("copies = 1").select("row_key"), "row_key", "left_semi").select(*docs.columns)
+    equal = keyed.join(kept.where("copies > 1").select("row_key"), "row_key", "left_semi").select(*docs.columns)
+    return single.union(equal.dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
