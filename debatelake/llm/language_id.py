@@ -20,8 +20,10 @@ from .common import attach, checkpointed, col, ship
 
 #: Buckets of hashed trigrams.
 BITS = 16
-#: Labelled rows taken of each language, the least by hash, to train the text models.
+#: Distinct labelled texts taken of each language, the least by hash, to train the text models.
 MAX_ROWS_A_LANGUAGE = 2_000
+#: Languages whose trigram counts a task or the driver holds at a time.
+LANGUAGE_BLOCK = 64
 #: Trigrams beyond which a text gives no further evidence; they are far from independent.
 TEXT_EVIDENCE = 60.0
 #: Reliability of a declaration and of a suffix: the probability that it is right.
@@ -52,8 +54,10 @@ class TextModel:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        p = counts + 0.5
-        self.table = np.log(p / p.sum(0)).astype(np.float32)
+        self.table = np.empty(counts.shape, np.float32)
+        for i in range(0, counts.shape[1], LANGUAGE_BLOCK):
+            p = counts[:, i : i + LANGUAGE_BLOCK] + 0.5
+            self.table[:, i : i + LANGUAGE_BLOCK] = np.log(p / p.sum(0))
         #: least mean log-probability of a text in a language: that of evenly spread trigrams
         self.floor = float(-BITS * np.log(2))
 
@@ -70,37 +74,69 @@ class TextModel:
 
 
 def train_text_model(docs: DataFrame, text_col: str = "text", label_col: str = "lang", max_rows: int = MAX_ROWS_A_LANGUAGE) -> TextModel:
-    """Trigram models from a bounded sample of labelled rows, the least by hash of each label."""
+    """Trigram models of every label from a sample of about max_rows of its distinct texts, the least by hash.
+
+    The models take 256 KB a label; copies of a text count once.
+    """
     ship(docs.sparkSession)
     rows = docs.select(col(text_col).alias("text"), col(label_col).alias("y")).where("text is not null and y is not null and y != ''")
-    counts = rows.groupBy("y").count().orderBy(F.desc("count"), "y").limit(64).collect()
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    counts = rows.select("y", "h").distinct().groupBy("y").count().collect()
     if not counts:
         return TextModel(["und"], np.zeros((1 << BITS, 1)))
     languages = sorted(r.y for r in counts)
     at = {y: i for i, y in enumerate(languages)}
-    # a threshold on the hash takes about max_rows of each label without a sort of the texts
+    # a threshold on the hash takes about max_rows texts of each label without a sort of the texts
     share = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r.y), F.lit(min(1.0, max_rows / r["count"])))]), F.col("y"))
-    sample = rows.where(F.col("y").isin(languages)).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+    sample = rows.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+
+    def first(batches):
+        # a task's copies of a text go here, those of other tasks in the grouping
+        seen = set()
+        for batch in batches:
+            new = []
+            for key in zip(batch.column("y").to_pylist(), batch.column("h").to_pylist()):
+                new.append(key not in seen)
+                seen.add(key)
+            if len(seen) >= 200_000:
+                seen.clear()
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    once = sample.mapInArrow(first, sample.schema).groupBy("y", "h").agg(F.first("text").alias("text"))
 
     def run(batches):
-        sums = np.zeros((len(languages), 1 << BITS), np.int64)
+        sums: dict[int, np.ndarray] = {}
+
+        def out():
+            for y, s in sums.items():
+                b = np.nonzero(s)[0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), y, np.int32)), pa.array(b.astype(np.int32)), pa.array(s[b])], names=["y", "b", "n"])
+            sums.clear()
+
         for batch in batches:
             for i in range(batch.num_rows):
-                sums[at[batch.column("y")[i].as_py()]] += np.bincount(_trigrams(batch.column("text")[i].as_py()), minlength=1 << BITS)
-        y, b = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(y.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(sums[y, b])], names=["y", "b", "n"])
-
-    rows = sample.mapInArrow(run, "y int, b int, n long").groupBy("y", "b").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((1 << BITS, len(languages)))
-    table[rows.column("b").to_numpy(), rows.column("y").to_numpy()] = rows.column("n").to_numpy()
+                y = at[batch.column("y")[i].as_py()]
+                if y not in sums and len(sums) >= LANGUAGE_BLOCK:
+                    yield from out()
+                g = np.bincount(_trigrams(batch.column("text")[i].as_py()), minlength=1 << BITS)
+                sums[y] = sums[y] + g if y in sums else g
+        yield from out()
+
+    found = once.mapInArrow(run, "y int, b int, n long").groupBy("y", "b").agg(F.sum("n").alias("n"))
+    found = checkpointed(found) if len(languages) > LANGUAGE_BLOCK else found
+    table = np.zeros((1 << BITS, len(languages)), np.float32)
+    for i in range(0, len(languages), LANGUAGE_BLOCK):
+        rows = found.where(F.col("y").between(i, i + LANGUAGE_BLOCK - 1)).toArrow()
+        table[rows.column("b").to_numpy(), rows.column("y").to_numpy()] = rows.column("n").to_numpy()
     return TextModel(languages, table)
 
 
 def _evidence(name: Column, languages: list[str], right: float) -> Column:
     """Log-likelihood of a claim by language; none if it is missing or names no known language."""
     wrong = (1 - right) / max(1, len(languages) - 1)
-    known = name.isin(languages)
-    return F.array(*[F.when(~F.coalesce(known, F.lit(False)), 0.0).when(name == y, float(np.log(right))).otherwise(float(np.log(max(wrong, 1e-9)))) for y in languages])
+    known = F.coalesce(name.isin(languages), F.lit(False))
+    names = F.array(*[F.lit(y) for y in languages])
+    return F.transform(names, lambda y: F.when(~known, 0.0).when(name == y, float(np.log(right))).otherwise(float(np.log(max(wrong, 1e-9)))))
 
 
 def _posterior(logs: Column) -> Column:
