@@ -121,14 +121,14 @@ class PieceCodec:
             start = n - 1 - end
             if k > longest[start]:
                 longest[start] = k
-        failed = 0  # a bit for each position from which the search has failed
+        failed = bytearray(n + 1)  # a flag for each position from which the search has failed
         known, shorter = self._compatible, self.shorter
         out: list[str] = []
         at, last = 0, ""
         piece = text[: longest[0]] if n else ""
         while at < n:
             while piece:
-                if not failed >> (at + len(piece)) & 1:
+                if not failed[at + len(piece)]:
                     ok = known.get((last, piece)) if last else True
                     if ok is None:
                         ok = self.compatible(last, piece)
@@ -141,7 +141,7 @@ class PieceCodec:
                 last = piece
                 piece = text[at : at + longest[at]] if at < n else ""
                 continue
-            failed |= 1 << at
+            failed[at] = 1
             if not out:
                 raise ValueError(f"no encoding of {text!r}")
             at -= len(last)
@@ -149,9 +149,8 @@ class PieceCodec:
             last = out[-1] if out else ""
         return out
 
-    #: Beyond this length the whole-number bitfield gets slow; merging gives the same pieces.
     def _known(self, text: str) -> list[int]:
-        return [self.id_of[p] for p in (self.backtrack(text) if len(text) <= 4096 else self.merged(text))]
+        return [self.id_of[p] for p in self.backtrack(text)]
 
     def _segment(self, text: str) -> bytes:
         if self.chars.issuperset(text):
