@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.values import safe_ratio
@@ -29,9 +29,9 @@ def collapse_periods(df: DataFrame, key: Sequence[str], start: str, end: str, or
 
 
 def seniority(df: DataFrame, key: Sequence[str], start: str, end: str, as_of: str) -> DataFrame:
-    """Years in office, overlaps counted twice, open ends up to a given day."""
+    """Years in office, overlaps counted twice, open ends up to a given day; null if there are no days."""
     days = F.datediff(F.coalesce(F.col(end), F.to_date(F.lit(as_of))), F.col(start))
-    return df.groupBy(*key).agg(F.round(F.sum(F.greatest(days, F.lit(0))) / 365.25, 2).alias("seniority"))
+    return df.groupBy(*key).agg(F.round(F.nullif(F.sum(F.greatest(days, F.lit(0))), F.lit(0)) / 365.25, 2).alias("seniority"))
 
 
 def priority_pick(values: Column, ranked: Sequence[str], sep: str = ";") -> Column:
@@ -57,11 +57,19 @@ def null_profile(df: DataFrame) -> DataFrame:
     return counts.unpivot([], df.columns, "column_name", "nulls")
 
 
+#: Numbers that one row is spread into at a time.
+GAP_STEP = 1_000_000
+
+
 def missing_numbers(df: DataFrame, part: Sequence[str], number: str) -> DataFrame:
-    """Numbers between the least and the greatest that do not occur."""
-    spans = df.groupBy(*part).agg(F.min(number).alias("_lo"), F.max(number).alias("_hi"))
-    every = spans.select(*part, F.explode(F.sequence("_lo", "_hi")).alias(number))
-    return every.join(df.select(*part, number).distinct(), [*part, number], "left_anti")
+    """Numbers between the least and the greatest of a part that do not occur; work and rows grow with the gaps alone."""
+    known = df.select(*part, number).where(F.col(number).isNotNull()).distinct()
+    gaps = known.withColumn("_next", F.lead(number).over(Window.partitionBy(*part).orderBy(number))).where(F.col("_next") > F.col(number) + 1)
+    lo, hi = F.col(number) + 1, F.col("_next") - 1
+    kind = df.schema[number].dataType
+    # a long gap in steps, so that no array is long
+    steps = gaps.select(*part, hi.alias("_hi"), F.explode(F.sequence(lo, hi, F.lit(GAP_STEP).cast(kind))).alias("_lo"))
+    return steps.select(*part, F.explode(F.sequence("_lo", F.least(F.col("_hi"), F.col("_lo") + F.lit(GAP_STEP - 1).cast(kind)))).alias(number))
 
 
 def conservation(before: DataFrame, after: DataFrame, text: str, absorbed: str, sep_chars: int) -> DataFrame:

@@ -1,6 +1,6 @@
 """Joins: containment and overlap in time, lookups, cascades, merges.
 
-A dimension is broadcast only if its estimated size is within a limit;
+A dimension is broadcast only if its rows, counted, are within a limit;
 otherwise the join is left to the optimizer.
 """
 
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from ..functions.folding import name_ratio
 from ..functions.values import contains, overlap
 
-BROADCAST_LIMIT = 32_000_000
+#: Most bytes by the optimizer's estimate, and most rows by count, of a broadcast dimension.
+BROADCAST_LIMIT, BROADCAST_ROWS = 32_000_000, 200_000
 
 
-def small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """The frame with a broadcast hint if its estimated size allows."""
+def small(df: DataFrame, limit: int = BROADCAST_LIMIT, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame with a broadcast hint if its estimated size and its counted rows allow."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if size <= limit else df
+    return F.broadcast(df) if size <= limit and df.limit(rows + 1).count() <= rows else df
 
 
 def containment_join(facts: DataFrame, spans: DataFrame, on: Sequence[str], day: str, start: str, end: str, how: str = "inner") -> DataFrame:
@@ -51,19 +52,33 @@ def interval_label(day: Column, spans: Sequence[tuple[object, str, str | None]],
     return out
 
 
-def fill_from_intervals(df: DataFrame, spans: DataFrame, column: str, day: str, value: str, start: str, end: str, when: Column, row_id: str) -> DataFrame:
-    """Fill a missing value from the earliest interval that holds the day; a few intervals, broadcast."""
+def fill_from_intervals(df: DataFrame, spans: DataFrame, column: str, day: str, value: str, start: str, end: str, when: Column, row_id: str, most: int = 1_000) -> DataFrame:
+    """Fill a missing value from the earliest interval that holds the day.
+
+    Up to ``most`` intervals, counted, are broadcast; more are spread over the
+    months that they cover, and rows meet those of their month.
+    """
     need = df.where(when & F.col(column).isNull()).select(F.col(row_id).alias("_id"), F.col(day).alias("_d"))
-    found = need.join(F.broadcast(spans), contains(F.col(start), F.col(end), F.col("_d"))).groupBy("_id").agg(F.min_by(value, start).alias("_v"))
+    held = contains(F.col(start), F.col(end), F.col("_d"))
+    spans = spans.select(value, start, end)
+    if spans.limit(most + 1).count() <= most:
+        found = need.join(F.broadcast(spans), held)
+    else:
+        last = need.agg(F.max("_d").alias("_last"))
+        spans = spans.join(F.broadcast(last), F.col(start) <= F.col("_last"))  # one row
+        months = F.sequence(F.trunc(start, "month"), F.trunc(F.least(F.coalesce(F.col(end), F.col("_last")), F.col("_last")), "month"), F.expr("interval 1 month"))
+        spans = spans.where(F.coalesce(F.col(end), F.col("_last")) >= F.col(start)).withColumn("_m", F.explode(months))
+        found = need.withColumn("_m", F.trunc("_d", "month")).join(spans, "_m").where(held)
+    found = found.groupBy("_id").agg(F.min_by(value, F.struct(start, value)).alias("_v"))
     return df.join(found, F.col(row_id) == F.col("_id"), "left").withColumn(column, F.coalesce(column, "_v")).drop("_id", "_v")
 
 
-def lookup_with_fallback(df: DataFrame, dim: DataFrame, sources: Sequence[tuple[str, str]], dim_key: str, value: str, aliases: dict[str, str] | None = None) -> DataFrame:
+def lookup_with_fallback(df: DataFrame, dim: DataFrame, sources: Sequence[tuple[str, str]], dim_key: str, value: str, aliases: dict[str, str] | None = None, order: str | None = None) -> DataFrame:
     """Look a label up in a dimension; the first non-empty of several columns is the label.
 
     ``sources`` lists (column, name). An alias stands in for its label and is
-    not followed by the label itself. The dimension's first row of a key wins
-    by its value. Adds ``source`` (or ``missing``), ``status`` and the value.
+    not followed by the label itself. The dimension's first row of a key wins,
+    by ``order`` or else by its value. Adds ``source`` (or ``missing``), ``status`` and the value.
     """
     label, source = F.lit(None).cast("string"), F.lit("missing")
     for column, name in reversed(sources):
@@ -72,7 +87,7 @@ def lookup_with_fallback(df: DataFrame, dim: DataFrame, sources: Sequence[tuple[
     if aliases:
         table = F.create_map(*[F.lit(v) for pair in aliases.items() for v in pair])
         label = F.coalesce(F.try_element_at(table, F.lower(label)), label)
-    keys = dim.groupBy(F.lower(F.col(dim_key)).alias("_k")).agg(F.min(value).alias(value))
+    keys = dim.groupBy(F.lower(F.col(dim_key)).alias("_k")).agg(F.min_by(value, F.struct(order or value, value)).alias(value))
     out = df.withColumns({"source": source, "_label": F.lower(label)}).join(small(keys), F.col("_label") == F.col("_k"), "left")
     status = F.when(F.col("source") == "missing", "missing_source").when(F.col(value).isNull(), "unmatched").otherwise("matched")
     return out.withColumn("status", status).drop("_label", "_k")

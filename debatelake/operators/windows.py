@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..checkpoints import checkpointed
 
 
 def _running(part: Sequence[str], order: Sequence[str | Column]):
@@ -23,15 +24,25 @@ def ordered_list(order: Column, value: Column) -> Column:
     return F.transform(pairs, lambda p: p["v"])
 
 
+def by_ranges(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """The frame in ordered ranges, written once: ``_p`` numbers the range and ``_n`` the row in it, from 0.
+
+    Rows move once. Both numbers come with the written rows, so whatever is
+    derived from them fits, however the ranges were drawn.
+    """
+    written = checkpointed(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    return written.withColumns({"_p": F.shiftright("_at", 33), "_n": F.col("_at").bitwiseAND(F.lit(2**33 - 1))}).drop("_at")
+
+
 def number_rows(df: DataFrame, order: Sequence[str | Column], part: Sequence[str] = (), name: str = "row_order") -> DataFrame:
     """Number rows from 1 in each partition; over the whole frame by ranges, not in one task."""
     if part:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    own = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    sizes = own.groupBy("_p").agg(F.count("*").alias("_c"))
+    ranged = by_ranges(df, order)
+    sizes = ranged.groupBy("_p").agg(F.count("*").alias("_c"))
+    # a row for each range
     before = sizes.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))
-    return own.join(F.broadcast(before), "_p").withColumn(name, F.col("_n") + F.col("_before")).drop("_p", "_n", "_before")
+    return ranged.join(F.broadcast(before), "_p").withColumn(name, F.col("_before") + F.col("_n") + 1).drop("_p", "_n", "_before")
 
 
 def forward_fill(df: DataFrame, value: Column, part: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -111,17 +122,31 @@ def annotate_structure(df: DataFrame, part: Sequence[str], order: Sequence[str],
     ).drop("_m", "_c", "_s", "_t", "_mseq", "_brk", "_cont", "_piece", "_sofar", "_full")
 
 
+def _last_before(df: DataFrame, value: str, order: str, name: str) -> DataFrame:
+    """The last non-null value before each row of the whole frame, carried from range to range."""
+    ranged = by_ranges(df, [order])
+    own = F.last(value, ignorenulls=True).over(Window.partitionBy("_p").orderBy("_n").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ranged.groupBy("_p").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col("_n"))).alias("_end"))
+    # a row for each range
+    carried = ends.select("_p", F.last("_end", ignorenulls=True).over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    return ranged.withColumn("_own", own).join(F.broadcast(carried), "_p").withColumn(name, F.coalesce("_own", "_carried")).drop("_p", "_n", "_own", "_carried")
+
+
 def absorption_status(df: DataFrame, part: Sequence[str], order: str, is_missing: Column, speaker: Column, boundary: Sequence[str], has_marker: Column) -> DataFrame:
     """Target and status of each row without a speaker.
 
-    The target is the nearest earlier row that has one. Rows of another
-    boundary or with a speaker's marker are blocked, and do not keep later
-    rows from the same target.
+    The target is the nearest earlier row that has one, in the row's part or,
+    without parts, in the whole frame. Rows of another boundary or with a
+    speaker's marker are blocked, and do not keep later rows from the same
+    target.
     """
     df = df.withColumn("_missing", F.coalesce(is_missing, F.lit(False)))
     anchor = ~F.col("_missing") & speaker.isNotNull() & (F.trim(speaker) != "")
     held = F.when(anchor, F.struct(F.col(order).alias("pos"), *[F.col(b).alias(f"b{i}") for i, b in enumerate(boundary)]))
-    df = df.withColumn("_anchor", F.last(held, ignorenulls=True).over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)))
+    if part:
+        df = df.withColumn("_anchor", F.last(held, ignorenulls=True).over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)))
+    else:
+        df = _last_before(df.withColumn("_held", held), "_held", order, "_anchor").drop("_held")
     same = F.lit(True)
     for i, b in enumerate(boundary):
         same = same & F.col(b).eqNullSafe(F.col(f"_anchor.b{i}"))

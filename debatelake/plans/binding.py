@@ -28,10 +28,13 @@ def bind(speeches: DataFrame, politician: DataFrame, mandate: DataFrame, aliases
     Distinct (speaker, link, day) triples are bound once and joined back, so
     the fuzzy stage sees each name and day once however often they occur.
     Ties go to the greater score, the later start, the later end, the lesser id.
+    Without a column of links, or of source files, that stage or date is left out.
     """
-    day = F.coalesce(V.mixed_date(F.col("date")), V.date_in_name(F.col("source_files")))
-    source = F.when(V.mixed_date(F.col("date")).isNotNull(), "date").when(V.date_in_name(F.col("source_files")).isNotNull(), "source_file").otherwise("missing")
-    rows = speeches.withColumns({"bind_date": day, "bind_date_source": source, "_key": X.person_key(unicode_key(F.col("speaker"))), "_link": F.coalesce(F.col("link_speaker"), F.lit(""))})
+    text = lambda *names: next((F.col(c).cast("string") for c in names if c in speeches.columns), F.lit(None).cast("string"))
+    named = V.date_in_name(text("source_files"))
+    day = F.coalesce(V.mixed_date(text("date")), named)
+    source = F.when(V.mixed_date(text("date")).isNotNull(), "date").when(named.isNotNull(), "source_file").otherwise("missing")
+    rows = speeches.withColumns({"bind_date": day, "bind_date_source": source, "_key": X.person_key(unicode_key(F.col("speaker"))), "_link": F.coalesce(text("link_speaker", "speaker_link"), F.lit(""))})
     chair = F.col("_key").isin(*C.CHAIR_KEYS)
     status = F.when(chair, "president").when(F.col("bind_date").isNull(), "missing_date").when(F.col("_key") == "", "missing_speaker").otherwise("unmatched")
     rows = rows.withColumn("_initial", status)
@@ -58,20 +61,64 @@ def bind(speeches: DataFrame, politician: DataFrame, mandate: DataFrame, aliases
     return out.withColumns({"bind_status": state, "mp_id": F.when(hit, F.col("mp_id")), "bind_method": F.when(hit, F.col("method")), "bind_score": F.when(hit, F.col("score"))}).drop("_key", "_link", "_initial", "method", "score")
 
 
-def bind_simple(rows: DataFrame, party: DataFrame, politician: DataFrame) -> DataFrame:
-    """Party by group and then party label, politician by full name alone; first of a key wins."""
-    named = politician.select(unicode_key(F.concat_ws(" ", "first_name", "last_name")).alias("_k"), "mp_id").groupBy("_k").agg(F.min("mp_id").alias("mp_id"))
-    rows = J.lookup_with_fallback(rows, party, [("parliamentary_group", "parliamentary_group"), ("party", "party")], "acronym", "party_id", C.SPEECH_PARTY_ALIASES)
+def party_lookup(party: DataFrame, order: str = "party_id", legacy: dict[str, str] | None = None) -> DataFrame:
+    """Rows (label_key, party_id, acronym, name): every label of each party by its key.
+
+    Labels are the id, the acronym, the name, the listed groups and the
+    aliases in interjections. Of parties that share a key the first by
+    ``order`` wins, and a legacy label goes to the party of its target.
+    """
+    legacy = C.SPEECH_PARTY_ALIASES if legacy is None else legacy
+    known = party.where(X.non_empty(F.col("party_id")))
+    text = lambda c: F.col(c) if c in party.columns else F.lit(None).cast("string")
+    labels = F.concat(F.array("party_id", text("acronym"), text("name")), X.parse_list(text("source_political_groups")), X.parse_list(text("interjection_aliases")))
+    record = F.struct(F.col(order).alias("_o"), "party_id", text("acronym").alias("acronym"), text("name").alias("name"))
+    keyed = known.select(F.explode(labels).alias("_label"), record.alias("r")).select(unicode_key(F.col("_label")).alias("label_key"), "r").where("label_key <> ''")
+    first = keyed.groupBy("label_key").agg(F.min("r").alias("r")).select("label_key", "r.party_id", "r.acronym", "r.name")
+    if not legacy:
+        return first
+    pairs = party.sparkSession.createDataFrame(list(legacy.items()), "old string, target string").select(unicode_key(F.col("old")).alias("old"), unicode_key(F.col("target")).alias("label_key"))
+    moved = first.join(F.broadcast(pairs), "label_key").select(F.col("old").alias("label_key"), "party_id", "acronym", "name")
+    return moved.unionByName(first.join(F.broadcast(pairs.join(first, "label_key").select(F.col("old").alias("label_key"))), "label_key", "left_anti"))
+
+
+def bind_parties(rows: DataFrame, party: DataFrame, group: str = "parliamentary_group", label: str = "party", order: str = "party_id", legacy: dict[str, str] | None = None) -> DataFrame:
+    """Add the party by the group's label, or without one by the party's, and how it was found."""
+    text = lambda c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+    by_group, by_party = X.non_empty(text(group)), X.non_empty(text(label))
+    source = F.when(by_group, F.lit(group)).when(by_party, F.lit(label))
+    asked = rows.withColumns({"party_source_label": F.when(by_group, text(group)).when(by_party, text(label)), "party_source_column": source})
+    found = party_lookup(party, order, legacy).select("label_key", F.col("party_id").alias("_id"), F.col("acronym").alias("party_acronym"), F.col("name").alias("party_name"))
+    out = asked.withColumn("label_key", unicode_key(F.col("party_source_label"))).join(J.small(found), "label_key", "left").drop("label_key")
+    status = F.when(F.col("_id").isNotNull(), "matched").when(F.col("party_source_label").isNull(), "missing_source").otherwise("unmatched")
+    return out.withColumns({"party_bind_status": status, "party_id": F.col("_id")}).drop("_id")
+
+
+def bind_simple(rows: DataFrame, party: DataFrame, politician: DataFrame, order: str = "mp_id") -> DataFrame:
+    """Party by group and then party label, politician by full name alone; the first of a key wins."""
+    named = politician.select(unicode_key(F.concat_ws(" ", "first_name", "last_name")).alias("_k"), F.col(order).alias("_o"), F.col("mp_id").alias("_mp"))
+    named = named.where("_k <> ''").groupBy("_k").agg(F.min_by("_mp", F.struct("_o", "_mp")).alias("mp_id"))
+    rows = bind_parties(rows, party)
     return rows.withColumn("_k", X.person_key(unicode_key(F.col("speaker")))).join(J.small(named), "_k", "left").drop("_k")
 
 
+def of_sittings(rows: DataFrame, sittings: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of the named sittings, such as dates and session numbers."""
+    return rows.join(J.small(sittings.select(*key).distinct()), key, "left_semi")
+
+
+def unresolved(rows: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows whose id no reference has; a missing id is one of them."""
+    return J.orphans(rows, known, key, key)
+
+
 def bind_report(rows: DataFrame, status: str, label: str, top: int = 20) -> tuple[DataFrame, DataFrame]:
     """Counts by status, and the most frequent unmatched labels."""
     return A.value_counts(rows, status), A.value_counts(rows.where(F.col(status) == "unmatched"), label, top=top)
 
 
 def absorb_missing(rows: DataFrame, order: str, boundary: list[str], text: str, part: list[str] | None = None, sample: int = 1000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Absorbed rows, their audit and the conservation report."""
+    """Absorbed rows, their audit and the conservation report; without parts the whole frame is one, in ranges."""
     part = part or []
     marked = W.absorption_status(rows, part, order, F.col("bind_status") == "missing_speaker", F.col("speaker"), boundary, X.has_speaker_marker(F.col(text)))
     after = W.absorb(marked, part, order, text, "id")

@@ -12,6 +12,7 @@ from .functions import values as V
 from .operators import aggregates as A
 from .operators import joins as J
 from .operators import windows as W
+from .plans import binding as B
 from .shipping import ship
 from .sources import html_pages as H
 
@@ -90,13 +91,13 @@ _ABSORB = """
 with n as (select *, row_number() over (partition by user_id order by ts, event_id) as pos, cast(ts as date) as day, event_type = 'error' as missing from events),
 a as (select *, last_value(case when not missing then pos end ignore nulls) over w as target, last_value(case when not missing then day end ignore nulls) over w as tday
 from n window w as (partition by user_id order by pos rows between unbounded preceding and 1 preceding)),
-m as (select *, case when missing then case when target is null then 'blocked_no_previous_speaker' when day is distinct from tday then 'blocked_boundary_mismatch' else 'merged' end end as status from a)
+m as (select *, case when missing then case when target is null then 'blocked_no_previous_speaker' when day is distinct from tday then 'blocked_boundary_mismatch' when event_id % 4 = 0 then 'blocked_text_starts_with_speaker_marker' else 'merged' end end as status from a)
 """
 
 
 def _marked(spark, d):
     e = W.number_rows(_read(spark, d, "events"), ["ts", "event_id"], ["user_id"], "pos").withColumn("day", F.to_date("ts"))
-    return W.absorption_status(e, ["user_id"], "pos", F.col("event_type") == "error", F.col("event_type"), ["day"], F.lit(False))
+    return W.absorption_status(e, ["user_id"], "pos", F.col("event_type") == "error", F.col("event_type"), ["day"], X.has_speaker_marker(F.when(F.col("event_id") % 4 == 0, "Mme Anne Martin. Oui").otherwise("Oui, Mme Martin.")))
 
 
 @query(_ABSORB + """, g as (select user_id, target as pos, string_agg(event_type || '#' || event_id, chr(10) || chr(10) order by pos) as t, count(*) as n, string_agg(cast(event_id as varchar), ';' order by pos) as ids from m where status = 'merged' group by 1, 2)
@@ -112,9 +113,10 @@ def absorb_audit_sample(spark, d):
     return W.audit_sample(_marked(spark, d), "event_id", 50).select("event_id", "absorb_status")
 
 
-@query(_ABSORB + """select count(*) as rows_before, sum(length(event_type)) as chars_before,
-count(*) - count(*) filter (status = 'merged') as rows_after, sum(length(event_type)) + 2 * count(*) filter (status = 'merged') as chars_after,
-2 * count(*) filter (status = 'merged') as separator_chars, true as conserved from m""")
+@query(_ABSORB + """, g as (select user_id, target as pos, string_agg(event_type, chr(10) || chr(10) order by pos) as t, count(*) as n from m where status = 'merged' group by 1, 2),
+x as (select coalesce(m.event_type || chr(10) || chr(10) || g.t, m.event_type) as text, coalesce(g.n, 0) as n from m left join g on m.user_id = g.user_id and m.pos = g.pos where m.status is null or m.status <> 'merged'),
+b as (select count(*) as rows_before, sum(length(event_type)) as chars_before from events), c as (select count(*) as rows_after, sum(length(text)) as chars_after, 2 * sum(n) as separator_chars from x)
+select *, chars_before + separator_chars = chars_after as conserved from b, c""")
 def conservation_report(spark, d):
     m = _marked(spark, d)
     return A.conservation(m, W.absorb(m, ["user_id"], "pos", "event_type", "event_id"), "event_type", "absorbed_count", 2)
@@ -239,9 +241,9 @@ def anti_merge_insert(spark, d):
     return J.merge_new(base, new, ["k"], [F.asc("v")])
 
 
-@query("select o_orderkey from orders where o_custkey not in (select c_custkey from customer where c_custkey % 10 <> 0)")
+@query("select doc_id from documents where doc_id not in (select doc_id from labels)")
 def fk_violations(spark, d):
-    return J.orphans(_read(spark, d, "orders"), _read(spark, d, "customer").where("c_custkey % 10 <> 0"), "o_custkey", "c_custkey").select("o_orderkey")
+    return J.orphans(_read(spark, d, "documents").select("doc_id"), _read(spark, d, "labels").select("doc_id"), "doc_id", "doc_id")
 
 
 @query("select distinct o_custkey from orders where o_custkey not in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
@@ -463,16 +465,19 @@ def zone_detect(spark, d):
     return W.zone(_lines(spark, d), ["doc_id"], "pos", F.col("line").endswith(".") & (n < 60), n > 60, n < 20).select("doc_id", "pos")
 
 
-@query("select unnest([2011, 2012, 2013, 2020]) as year")
+@query("select o_orderkey, unnest([y, y + 1, y + 2, y + 5]) as year from (select o_orderkey, cast(year(o_orderdate) as int) as y from orders)")
 def year_spec(spark, d):
-    return spark.range(1).select(F.explode(V.years(F.lit("2011-2013,2020,2012"))).alias("year"))
+    y = F.year("o_orderdate")
+    spec = F.format_string("%d, %d-%d,%d", y + 5, y, y + 2, y + 1)
+    return _read(spark, d, "orders").select("o_orderkey", F.explode(V.years(spec)).alias("year"))
 
 
-@query("""with g as (select *, sum(cast(role is distinct from prev as int)) over (partition by conv_id order by turn) as grp from (select *, lag(role) over (partition by conv_id order by turn) as prev from conversations))
-select conv_id, grp, any_value(role) as role, string_agg(text, ' ' order by turn) as text, min(turn) as first_turn, count(*) as n from g group by 1, 2""")
+@query("""with g as (select *, sum(cast(prev is null or kind <> prev as int)) over (partition by conv_id order by turn) as grp from (select *, lag(kind) over (partition by conv_id order by turn) as prev from (select *, length(text) % 2 = 0 as kind from conversations)))
+select conv_id, grp, any_value(kind) as kind, string_agg(text, ' ' order by turn) as text, min(turn) as first_turn, count(*) as n from g group by 1, 2""")
 def turn_grouping(spark, d):
-    g = W.group_islands(_read(spark, d, "conversations"), ["conv_id"], ["turn"], F.col("role"), F.lit(False), F.lit(False), "grp")
-    return g.groupBy("conv_id", "grp").agg(F.first("role").alias("role"), F.array_join(W.ordered_list(F.col("turn"), F.col("text")), " ").alias("text"), F.min("turn").alias("first_turn"), F.count("*").alias("n"))
+    c = _read(spark, d, "conversations").withColumn("kind", F.length("text") % 2 == 0)
+    g = W.group_islands(c, ["conv_id"], ["turn"], F.col("kind"), F.lit(False), F.lit(False), "grp")
+    return g.groupBy("conv_id", "grp").agg(F.first("kind").alias("kind"), F.array_join(W.ordered_list(F.col("turn"), F.col("text")), " ").alias("text"), F.min("turn").alias("first_turn"), F.count("*").alias("n"))
 
 
 @query("select event_id, row_number() over (order by ts, event_id) as row_order from events")
@@ -497,14 +502,14 @@ def text_preview(spark, d):
     return _read(spark, d, "conversations").select("conv_id", "turn", X.preview(F.col("text")).alias("preview"))
 
 
-@query("select c_name as name from customer where c_custkey <= 100 union select s_name from supplier")
+@query("select c_name as name from customer union select s_name from supplier")
 def union_distinct(spark, d):
-    return _read(spark, d, "customer").where("c_custkey <= 100").select(F.col("c_name").alias("name")).union(_read(spark, d, "supplier").select("s_name")).distinct()
+    return _read(spark, d, "customer").select(F.col("c_name").alias("name")).union(_read(spark, d, "supplier").select("s_name")).distinct()
 
 
-@query("select c_nationkey as k from customer except select s_nationkey from supplier where s_nationkey % 2 = 0")
+@query("select c_custkey as k from customer except select user_id from events")
 def set_difference(spark, d):
-    return _read(spark, d, "customer").select(F.col("c_nationkey").alias("k")).subtract(_read(spark, d, "supplier").where("s_nationkey % 2 = 0").select("s_nationkey"))
+    return _read(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(_read(spark, d, "events").select("user_id"))
 
 
 @query("select c_custkey, c_name, array_to_string(list_slice(string_split(c_name, '#'), 1, -2), '#') as head, list_extract(string_split(c_name, '#'), -1) as tail from customer")
@@ -513,6 +518,119 @@ def name_tokens(spark, d):
     return _read(spark, d, "customer").select("c_custkey", "c_name", F.array_join(F.slice(n, 1, F.size(n) - 1), "#").alias("head"), X.last_token(F.replace("c_name", F.lit("#"), F.lit(" "))).alias("tail"))
 
 
-@query(f"select doc_id, pos from {_LINES} where regexp_matches(line, '^\\s*(?:M\\.|Mme|The|Mlle)\\s+[A-ZÀ-ÖØ-Þ][^.!?\\n]{{2,90}}[,.]') and line not like 'The%'")
+_MARKED = "case pos % 3 when 0 then 'M. ' when 1 then '  Mmes ' else 'Le ' end || upper(substr(line, 1, 1)) || substr(line, 2)"
+
+
+@query(f"select doc_id, pos from (select *, {_MARKED} as x from {_LINES}) where regexp_matches(x, '^\\s*(?:M\\.|Mmes)\\s+[A-ZÀ-ÖØ-Þ][^.!?\\n]{{2,90}}[,.]')")
 def speaker_marker(spark, d):
-    return _lines(spark, d).where(X.has_speaker_marker(F.col("line"))).select("doc_id", F.col("pos").cast("long").alias("pos"))
+    head = F.when(F.col("pos") % 3 == 0, "M. ").when(F.col("pos") % 3 == 1, "  Mmes ").otherwise("Le ")
+    x = F.concat(head, F.upper(F.substring("line", 1, 1)), F.expr("substring(line, 2)"))
+    return _lines(spark, d).where(X.has_speaker_marker(x)).select("doc_id", F.col("pos").cast("long").alias("pos"))
+
+
+_MONTHS = "['janvier', 'février', 'mars', 'avril', 'mai', 'juin', 'juillet', 'août', 'septembre', 'octobre', 'novembre', 'décembre']"
+_DAYS = "(select o_orderkey, o_custkey, cast(o_orderdate as date) as d, cast(o_orderdate as date) + 40 as e from orders)"
+
+
+def _days(spark, d):
+    months = F.array(*[F.lit(m.strip(" '")) for m in _MONTHS[1:-1].split(",")])
+    o = _read(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("d")).withColumn("e", F.date_add("d", 40))
+    said = lambda c: F.concat(F.day(c).cast("string"), F.when(F.day(c) == 1, "er").otherwise(""), F.lit(" "), F.element_at(months, F.month(c)), F.lit(" "), F.year(c).cast("string"))
+    return o.withColumns({"said_d": said("d"), "said_e": said("e")})
+
+
+@query(f"select o_orderkey, d as day from {_DAYS}")
+def french_dates(spark, d):
+    return _days(spark, d).select("o_orderkey", V.french_date(F.concat(F.lit("Né le "), "said_d", F.lit(" à Lyon (Rhône)"))).alias("day"))
+
+
+@query(f"select o_orderkey, d as first_day, case when o_orderkey % 2 = 0 then e end as last_day from {_DAYS}")
+def mandate_periods(spark, d):
+    x = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("Mandat du "), "said_d", F.lit(" au "), "said_e")).otherwise(F.concat(F.lit("Depuis le "), "said_d"))
+    p = V.period(x)
+    return _days(spark, d).select("o_orderkey", p["start"].alias("first_day"), p["end"].alias("last_day"))
+
+
+@query("select p_partkey, 10 + p_size % 8 as term from part")
+def term_numbers(spark, d):
+    numerals = F.array(*[F.lit(x) for x in ("X", "XI", "XII", "XIII", "XIV", "XV", "XVI", "XVII")])
+    n = F.col("p_size") % 8
+    x = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.element_at(numerals, n + 1), F.lit("e législature"))).otherwise(F.concat((n + 10).cast("string"), F.lit(" ème législature (élection)")))
+    return _read(spark, d, "part").select("p_partkey", V.term_number(x).alias("term"))
+
+
+@query("""select p_partkey, array_to_string(list_sort(list_distinct(['PA' || p_partkey, 'PA' || p_size])), ',') as all_ids, 'PA' || p_partkey as of_url, case when p_partkey % 2 = 0 then 'PA' || p_size end as at_end from part""")
+def id_extract(spark, d):
+    k, size = F.concat(F.lit("PA"), F.col("p_partkey").cast("string")), F.concat(F.lit("PA"), F.col("p_size").cast("string"))
+    url = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("https://x.fr/deputes/fiche/OMC_"), k)).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("/dyn/deputes/"), k)).otherwise(F.concat(F.lit("a?b=OMC_"), k))
+    end = F.concat(F.lit("https://x.fr/acteur/"), size, F.when(F.col("p_partkey") % 2 == 0, "/?tab=1").otherwise("/votes"))
+    return _read(spark, d, "part").select("p_partkey", F.array_join(V.pa_ids(F.concat(size, F.lit(" puis "), k, F.lit(" et "), size)), ",").alias("all_ids"), V.first_id(F.array(F.lit("/autre"), url)).alias("of_url"), V.id_at_end(end).alias("at_end"))
+
+
+@query("select c_custkey, replace(lower(c_name), '#', ' ') as key, split_part(c_name, '#', 1) as head, split_part(c_name, '#', 2) as tail from customer")
+def person_names(spark, d):
+    told = F.concat(F.when(F.col("c_custkey") % 2 == 0, "Mme ").otherwise("M. "), F.replace("c_name", F.lit("#"), F.lit(" ")))
+    name = X.split_name(F.concat(F.replace("c_name", F.lit("#"), F.lit("  ")), F.when(F.col("c_custkey") % 3 == 0, " née Martin").otherwise("")))
+    return _read(spark, d, "customer").select("c_custkey", X.person_key(X.simple_key(told)).alias("key"), name["first_name"].alias("head"), name["last_name"].alias("tail"))
+
+
+@query("select s_suppkey, lower(s_name) as club, trim(regexp_replace(lower(s_name), '[^a-z0-9]+', ' ', 'g')) as person from supplier")
+def label_keys(spark, d):
+    club = F.concat(F.lit("Président du groupe "), "s_name", F.lit(" (apparenté)"))
+    return _read(spark, d, "supplier").select("s_suppkey", X.label_key(club).alias("club"), X.name_key(F.concat("s_name", F.lit(" née Œuvrard"))).alias("person"))
+
+
+@query("select s_suppkey, s_suppkey % 4 < 2 as chair from supplier")
+def chair_labels(spark, d):
+    k = F.col("s_suppkey") % 4
+    label = F.when(k == 0, "M. le président").when(k == 1, F.concat(F.lit("Mme la présidente "), "s_name")).when(k == 2, "M. le président de la commission des lois").otherwise(F.col("s_name"))
+    return _read(spark, d, "supplier").select("s_suppkey", X.is_chair(label).alias("chair"))
+
+
+@query("select p_partkey, p_type as value, p_brand || ', ' || p_size as place, case when p_partkey % 3 = 0 then p_brand else p_brand || ' (' || p_size || ')' end as seat from part")
+def inline_values(spark, d):
+    size = F.col("p_size").cast("string")
+    return _read(spark, d, "part").select("p_partkey", X.inline_value(F.concat(F.lit("  profession : "), "p_type", F.lit("  ")), "Profession").alias("value"), V.birth_place(F.col("p_brand"), F.lit(" "), size).alias("place"), V.constituency(F.col("p_brand"), F.when(F.col("p_partkey") % 3 != 0, size)).alias("seat"))
+
+
+@query("""with s as (select l_orderkey as k, cast(min(l_shipdate) as date) as s, case when l_orderkey % 100 = 0 then null else cast(max(l_shipdate) as date) end as e from lineitem group by l_orderkey having count(*) > 6),
+n as (select o_orderkey, cast(o_orderdate as date) as d, case when o_custkey % 4 = 0 then o_custkey end as own from orders),
+f as (select o_orderkey, arg_min(k, (s, k)) as k from n join s on s <= d and (e is null or e >= d) where own is null group by 1)
+select o_orderkey, coalesce(own, k) as who from n left join f using (o_orderkey)""")
+def interval_fill(spark, d):
+    li = _read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min(F.to_date("l_shipdate")).alias("s"), F.when(F.col("k") % 100 != 0, F.max(F.to_date("l_shipdate"))).alias("e"), F.count("*").alias("n"))
+    o = _read(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), F.when(F.col("o_custkey") % 4 == 0, F.col("o_custkey")).alias("who"))
+    return J.fill_from_intervals(o, li.where("n > 6"), "who", "d", "k", "s", "e", F.lit(True), "o_orderkey").select("o_orderkey", "who")
+
+
+@query("""with l as (select r_regionkey as id, unnest(['G' || r_regionkey, r_name, 'Groupe ' || r_name, upper(left(r_name, 3))]) as x from region), k as (select lower(x) as k, min(id) as id from l group by 1),
+a as (select c_custkey, case when c_custkey % 5 = 0 then null when c_custkey % 5 = 1 then 'Groupe ' || r_name when c_custkey % 5 = 2 then lower(left(r_name, 3)) when c_custkey % 5 = 3 then 'Old' else n_name end as x from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey)
+select c_custkey, 'G' || coalesce(k.id, o.id) as party_id, case when x is null then 'missing_source' when k.id is null and o.id is null then 'unmatched' else 'matched' end as status, case when c_custkey % 5 > 2 then 'party' when c_custkey % 5 > 0 then 'parliamentary_group' end as source
+from a left join k on k.k = lower(x) left join k o on x = 'Old' and o.k = 'asi'""")
+def party_binding(spark, d):
+    c, n, r = (_read(spark, d, t) for t in ("customer", "nation", "region"))
+    base = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("r_regionkey") == F.col("n_regionkey"))
+    k = F.col("c_custkey") % 5
+    rows = base.select("c_custkey", F.when(k == 1, F.concat(F.lit("Groupe "), "r_name")).when(k == 2, F.lower(F.substring("r_name", 1, 3))).otherwise(" ").alias("parliamentary_group"), F.when(k == 3, "Old").when(k == 4, F.col("n_name")).alias("party"))
+    party = r.select(F.concat(F.lit("G"), F.col("r_regionkey").cast("string")).alias("party_id"), F.upper(F.substring("r_name", 1, 3)).alias("acronym"), F.col("r_name").alias("name"), F.concat(F.lit("['Groupe "), "r_name", F.lit("']")).alias("source_political_groups"), F.lit(None).cast("string").alias("interjection_aliases"))
+    return B.bind_parties(rows, party, legacy={"old": "ASI"}).select("c_custkey", "party_id", F.col("party_bind_status").alias("status"), F.col("party_source_column").alias("source"))
+
+
+@query("""select lab, count(*) as n from (select n_name as lab from customer join nation on n_nationkey = c_nationkey) where lab not in (select r_name from region) group by 1 order by n desc, lab limit 20""")
+def unmatched_labels(spark, d):
+    rows = _read(spark, d, "customer").join(_read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("lab"), F.lit(None).cast("string").alias("other"))
+    bound = J.lookup_with_fallback(rows, _read(spark, d, "region"), [("lab", "lab")], "r_name", "r_regionkey")
+    return B.bind_report(bound, "status", "lab")[1]
+
+
+@query("select event_id from events where cast(ts as date) = (select min(cast(ts as date)) from events) and event_type in ('click', 'view')")
+def sitting_filter(spark, d):
+    e = _read(spark, d, "events").withColumns({"day": F.to_date("ts"), "session": F.col("event_type")})
+    first = e.agg(F.min("day").alias("day")).crossJoin(spark.createDataFrame([("click",), ("view",)], "session string"))
+    return B.of_sittings(e, first, ["day", "session"]).select("event_id")
+
+
+@query("select o_orderkey, o_custkey from orders where o_custkey not in (select c_custkey from customer where c_mktsegment = 'MACHINERY')")
+def unresolved_ids(spark, d):
+    known = _read(spark, d, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("o_custkey"))
+    return B.unresolved(_read(spark, d, "orders").select("o_orderkey", "o_custkey"), known, "o_custkey")
