@@ -52,25 +52,27 @@ def interval_label(day: Column, spans: Sequence[tuple[object, str, str | None]],
     return out
 
 
-def fill_from_intervals(df: DataFrame, spans: DataFrame, column: str, day: str, value: str, start: str, end: str, when: Column, row_id: str, most: int = 1_000) -> DataFrame:
+def fill_from_intervals(df: DataFrame, spans: DataFrame, column: str, day: str, value: str, start: str, end: str, when: Column, most: int = 1_000) -> DataFrame:
     """Fill a missing value from the earliest interval that holds the day.
 
-    Up to ``most`` intervals, counted, are broadcast; more are spread over the
-    months that they cover, and rows meet those of their month.
+    Each distinct day is looked up once. Up to ``most`` intervals, counted, are
+    broadcast to the days; more are spread over the months that they cover,
+    and days meet those of their month.
     """
-    need = df.where(when & F.col(column).isNull()).select(F.col(row_id).alias("_id"), F.col(day).alias("_d"))
+    ask = when & F.col(column).isNull()
+    days = df.where(ask).select(F.col(day).alias("_d")).distinct()
     held = contains(F.col(start), F.col(end), F.col("_d"))
     spans = spans.select(value, start, end)
     if spans.limit(most + 1).count() <= most:
-        found = need.join(F.broadcast(spans), held)
+        found = days.join(F.broadcast(spans), held)
     else:
-        last = need.agg(F.max("_d").alias("_last"))
+        last = days.agg(F.max("_d").alias("_last"))
         spans = spans.join(F.broadcast(last), F.col(start) <= F.col("_last"))  # one row
         months = F.sequence(F.trunc(start, "month"), F.trunc(F.least(F.coalesce(F.col(end), F.col("_last")), F.col("_last")), "month"), F.expr("interval 1 month"))
         spans = spans.where(F.coalesce(F.col(end), F.col("_last")) >= F.col(start)).withColumn("_m", F.explode(months))
-        found = need.withColumn("_m", F.trunc("_d", "month")).join(spans, "_m").where(held)
-    found = found.groupBy("_id").agg(F.min_by(value, F.struct(start, value)).alias("_v"))
-    return df.join(found, F.col(row_id) == F.col("_id"), "left").withColumn(column, F.coalesce(column, "_v")).drop("_id", "_v")
+        found = days.withColumn("_m", F.trunc("_d", "month")).join(spans, "_m").where(held)
+    found = found.groupBy("_d").agg(F.min_by(value, F.struct(start, value)).alias("_v"))
+    return df.join(small(found), F.col(day) == F.col("_d"), "left").withColumn(column, F.when(ask, F.col("_v")).otherwise(F.col(column))).drop("_d", "_v")
 
 
 def lookup_with_fallback(df: DataFrame, dim: DataFrame, sources: Sequence[tuple[str, str]], dim_key: str, value: str, aliases: dict[str, str] | None = None, order: str | None = None) -> DataFrame:

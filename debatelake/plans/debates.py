@@ -86,9 +86,9 @@ def final_table(recent: DataFrame, historical: DataFrame, presidency: DataFrame,
     historical = historical.where((F.col("row_type") == "speech") & F.year("speech_date").between(1998, 2010))
     names = ["speech_text", "speech_interjection", "speech_date", "speaker", "speaker_id", "row_order"]
     both = historical.select(*names, F.lit(0).alias("dataset")).unionByName(recent.select(*names, F.lit(1).alias("dataset")))
-    both = both.withColumns({"speaker_id": F.nullif(F.trim("speaker_id"), F.lit("")), "_row": F.struct("dataset", "row_order")})
+    both = both.withColumn("speaker_id", F.nullif(F.trim("speaker_id"), F.lit("")))
     offices = presidency.select(F.col("mp_id").alias("office_id"), "start_date", "end_date")
-    both = J.fill_from_intervals(both, offices, "speaker_id", "speech_date", "office_id", "start_date", "end_date", chair, "_row")
+    both = J.fill_from_intervals(both, offices, "speaker_id", "speech_date", "office_id", "start_date", "end_date", chair)
     both = both.withColumn("term", term_of(terms)).where("speaker_id is not null and speech_text is not null")
     numbered = W.number_rows(both, ["speech_date", "dataset", "row_order"], name="speech_id")
     return numbered.select("speech_id", "speech_text", "speech_interjection", "speech_date", "speaker_id", F.lit(country_id).alias("country_id"), "term")

@@ -600,7 +600,7 @@ select o_orderkey, coalesce(own, k) as who from n left join f using (o_orderkey)
 def interval_fill(spark, d):
     li = _read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.min(F.to_date("l_shipdate")).alias("s"), F.when(F.col("k") % 100 != 0, F.max(F.to_date("l_shipdate"))).alias("e"), F.count("*").alias("n"))
     o = _read(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), F.when(F.col("o_custkey") % 4 == 0, F.col("o_custkey")).alias("who"))
-    return J.fill_from_intervals(o, li.where("n > 6"), "who", "d", "k", "s", "e", F.lit(True), "o_orderkey").select("o_orderkey", "who")
+    return J.fill_from_intervals(o, li.where("n > 6"), "who", "d", "k", "s", "e", F.lit(True)).select("o_orderkey", "who")
 
 
 @query("""with l as (select r_regionkey as id, unnest(['G' || r_regionkey, r_name, 'Groupe ' || r_name, upper(left(r_name, 3))]) as x from region), k as (select lower(x) as k, min(id) as id from l group by 1),

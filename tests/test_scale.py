@@ -65,7 +65,7 @@ def test_intervals_by_month_like_broadcast(spark):
     rows = [(i, DAY + datetime.timedelta(i * 11), None if i % 3 else "own") for i in range(100)]
     df = spark.createDataFrame(rows, "id int, day date, v string")
     spans = spark.createDataFrame([(f"s{i}", DAY + datetime.timedelta(i * 40), None if i == 20 else DAY + datetime.timedelta(i * 40 + 55)) for i in range(21)], "w string, s date, e date")
-    few, many = (J.fill_from_intervals(df, spans, "v", "day", "w", "s", "e", F.lit(True), "id", most=m).orderBy("id").collect() for m in (1000, 3))
+    few, many = (J.fill_from_intervals(df, spans, "v", "day", "w", "s", "e", F.lit(True), most=m).orderBy("id").collect() for m in (1000, 3))
     assert few == many and few[1].v == "s0" and few[0].v == "own"
 
 
