@@ -15,30 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, col
+from .url_table import ALLOW, BLOCK
+
+_MULT = np.uint64(0x9E3779B97F4A7C15)
 
 BITS = 16
 #: Lengths of n-grams.
 GRAMS = (3, 4, 5)
-#: Words of the default training table.
-_SPAM = ("casino", "poker", "betting", "bets", "jackpot", "lottery", "pills", "viagra", "pharma", "cheap", "free", "adult", "porn", "xxx", "sexcam", "dating", "spam", "ads", "adserver", "track", "tracker", "popup", "click", "malware", "phishing", "crack", "warez", "loan", "payday", "replica")
-_SECOND = ("win", "farm", "online", "deal", "x", "now", "bonus", "hub")
-_PLAIN = ("news", "weather", "library", "museum", "school", "university", "city", "garden", "recipes", "history", "science", "music", "sports", "travel", "health", "forum", "wiki", "shop", "bakery", "parliament", "energy", "physics", "kitchen", "village", "theatre", "thought", "earth", "nation", "height", "other", "rather", "station")
-_HOSTS = ("", "www.", "m.", "blog.")
+#: The share of URLs that are to be blocked, where the n-grams say nothing.
+PRIOR = 0.1
+#: URLs whose n-grams are taken at a time.
+BATCH = 2_000
 
 
 def training_urls() -> list[tuple[str, int]]:
-    """The default labelled table (url, 1 for block), built by rule from two lists of words."""
-    tlds, paths = ("com", "org", "net"), ("/en/12", "/fr/345.html", "/de/7?page=2", "/es/890#top", "/", "/about", "/offer/9")
-    out = []
-    for i, w in enumerate(_SPAM):
-        other = _SECOND[i % len(_SECOND)]
-        for j, name in enumerate((f"{w}-{other}", f"{other}-{w}", w)):
-            out.append((f"http://{_HOSTS[(i + j) % 4]}{name}.example.{tlds[(i + j) % 3]}{paths[(i + 2 * j) % 7]}", 1))
-    for i, w in enumerate(_PLAIN):
-        other = _PLAIN[(i * 5 + 3) % len(_PLAIN)]
-        for j, name in enumerate((w, f"{w}-{other}", f"{w}{other[:4]}")):
-            out.append((f"https://{_HOSTS[(i + j) % 4]}{name}.example.{tlds[(i + 2 * j) % 3]}{paths[(i + j) % 7]}", 0))
-    return out
+    """The default labelled table (url, 1 for block)."""
+    return [(u, 1) for u in BLOCK.split()] + [(u, 0) for u in ALLOW.split()]
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -52,44 +44,100 @@ def split_url(url: str | None) -> tuple[str, str]:
     return rest[:stop].encode().lower().decode(), path[:end]
 
 
-def features(host: str, path: str) -> np.ndarray:
-    """Hashed distinct n-grams of the marked host and path."""
-    found = set()
-    for tag, text in ((b"h", f"^{host}$"), (b"p", path and f"^{path}$")):
-        data = text.encode()
-        for k in GRAMS:
-            found.update(zlib.crc32(data[i : i + k], tag[0]) & ((1 << BITS) - 1) for i in range(len(data) - k + 1))
-    return np.fromiter(found, np.int64, len(found))
+def features(hosts: Sequence[str], paths: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and hashed n-grams of the marked hosts and paths, each n-gram once a row."""
+    out = []
+    for tag, texts in ((1, hosts), (2, paths)):
+        marked = [f"^{t}$".encode() if t else b"" for t in texts]
+        data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+        row = np.repeat(np.arange(len(marked), dtype=np.uint64), list(map(len, marked)))
+        h = np.full(len(data), tag, np.uint64)
+        for k in range(1, max(GRAMS) + 1):
+            h = (h[: len(data) - k + 1] ^ data[k - 1 :]) * _MULT
+            h ^= h >> np.uint64(29)
+            if k in GRAMS:
+                whole = row[: len(h)] == row[k - 1 :]
+                out.append(row[: len(h)][whole] << np.uint64(BITS) | (h[whole] * _MULT) >> np.uint64(64 - BITS))
+    found = np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
+    return (found >> np.uint64(BITS)).astype(np.int64), (found & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
 class UrlModel:
-    """Logistic regression with weights in a table of 2**BITS."""
-
-    def __init__(self, weights: np.ndarray, bias: float):
-        self.weights, self.bias = weights, bias
-
-    def block_probability(self, host: str, path: str) -> float:
-        f = features(host, path)
-        z = self.bias + (float(self.weights[f].sum()) / np.sqrt(len(f)) if len(f) else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-
-def train_urls(labelled: Iterable[tuple[str, int]], steps: int = 400, rate: float = 2.0, ridge: float = 1e-3) -> UrlModel:
-    """Full-batch gradient descent on (url, label) pairs; a table for the driver. Null labels are left out."""
-    rows = [(features(*split_url(u)), y) for u, y in labelled if y is not None]
-    w, b = np.zeros(1 << BITS), 0.0
-    if not rows:
-        return UrlModel(w.astype(np.float32), -1.0)
-    at = np.concatenate([f for f, _ in rows])
-    row = np.repeat(np.arange(len(rows)), [len(f) for f, _ in rows])
-    scale = np.array([1 / np.sqrt(max(1, len(f))) for f, _ in rows])
-    y = np.array([y for _, y in rows], float)
-    for _ in range(steps):
-        z = np.bincount(row, weights=w[at], minlength=len(rows)) * scale + b
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(rows)
-        w -= rate * (np.bincount(at, weights=(g * scale)[row], minlength=len(w)) * 10 + ridge * w)
-        b -= rate * float(g.sum())
-    return UrlModel(w.astype(np.float32), b)
+    """Logistic regression with weights in a table of 2**BITS, and a scale and offset of its margin."""
+
+    def __init__(self, weights: np.ndarray, scale: float, bias: float):
+        self.weights, self.scale, self.bias = weights, scale, bias
+
+    def margins(self, hosts: Sequence[str], paths: Sequence[str]) -> np.ndarray:
+        """The sum of the weights over the root of the number of n-grams that the training has seen."""
+        row, gram = features(hosts, paths)
+        known = self.weights[gram] != 0
+        row, gram = row[known], gram[known]
+        return np.bincount(row, weights=self.weights[gram], minlength=len(hosts)) / np.sqrt(np.maximum(np.bincount(row, minlength=len(hosts)), 1))
+
+    def block_probabilities(self, hosts: Sequence[str], paths: Sequence[str]) -> np.ndarray:
+        """A URL without n-grams that the training has seen is left to the prior."""
+        parts = [self.margins(hosts[i : i + BATCH], paths[i : i + BATCH]) for i in range(0, len(hosts), BATCH)]
+        return 1 / (1 + np.exp(-np.clip(self.scale * np.concatenate(parts) + self.bias, -30, 30))) if parts else np.empty(0)
+
+
+def _weights(split: Sequence[tuple[str, str]], y: np.ndarray, steps: int, rate: float, ridge: float) -> np.ndarray:
+    """Accelerated gradient descent on the logistic loss, in which both classes weigh the same."""
+    w = np.zeros(1 << BITS)
+    if not len(y) or y.min() == y.max():
+        return w.astype(np.float32)
+    row, gram = features(*zip(*split))
+    scale = 1 / np.sqrt(np.maximum(np.bincount(row, minlength=len(y)), 1))
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    v = w
+    for step in range(steps):
+        z = np.bincount(row, weights=v[gram], minlength=len(y)) * scale
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * share * scale
+        new = v - rate * (np.bincount(gram, weights=g[row], minlength=len(w)) + ridge * v)
+        v, w = new + step / (step + 3) * (new - w), new
+    return w.astype(np.float32)
+
+
+def train_urls(labelled: Iterable[tuple[str, int]], steps: int = 300, rate: float = 4.0, ridge: float = 1e-5, prior: float = PRIOR, folds: int = 5) -> UrlModel:
+    """Fit a model on (url, label) pairs; a table for the driver.
+
+    The margin's scale and offset are fitted on margins of models that have
+    not seen the URL's host, and the offset is then moved from even classes to
+    the prior. Null labels are left out; without both classes the prior alone
+    decides.
+    """
+    rows = [(split_url(u), y) for u, y in labelled if y is not None]
+    split, y = [x for x, _ in rows], np.array([y for _, y in rows], float)
+    at_prior = float(np.log(prior / (1 - prior)))
+    weights = _weights(split, y, steps, rate, ridge)
+    if not weights.any():
+        return UrlModel(weights, 1.0, at_prior)
+    fold = np.array([zlib.crc32(host.encode()) % folds for host, _ in split])
+    margin = np.zeros(len(y))
+    for f in range(folds):
+        mine = np.nonzero(fold == f)[0]
+        if len(mine):
+            model = UrlModel(_weights([split[i] for i in np.nonzero(fold != f)[0]], y[fold != f], steps, rate, ridge), 1.0, 0.0)
+            margin[mine] = model.margins(*zip(*(split[i] for i in mine)))
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    a, w = np.stack((margin, np.ones(len(y))), 1), np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        w -= np.clip(np.linalg.solve((a * (share * p * (1 - p) + 1e-9)[:, None]).T @ a + np.diag([1e-5, 1e-9]), a.T @ (share * (p - y)) + np.array([1e-5, 0]) * w), -1, 1)
+    return UrlModel(weights, max(float(w[0]), 0.0), float(w[1]) + at_prior)
+
+
+def held_out_quality(labelled: Sequence[tuple[str, int]], folds: int = 4) -> tuple[float, float]:
+    """Precision and recall at one half of models that have not seen the URL's host; folds are by hash of the host."""
+    fold = [zlib.crc32(split_url(u)[0].encode(), 1) % folds for u, _ in labelled]
+    found = np.zeros(len(labelled), bool)
+    for f in range(folds):
+        model = train_urls([x for x, g in zip(labelled, fold) if g != f])
+        mine = [i for i, g in enumerate(fold) if g == f]
+        split = [split_url(labelled[i][0]) for i in mine]
+        found[mine] = model.block_probabilities([h for h, _ in split], [p for _, p in split]) >= 0.5
+    y = np.array([y for _, y in labelled], bool)
+    return float((found & y).sum() / max(found.sum(), 1)), float((found & y).sum() / max(y.sum(), 1))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -120,12 +168,12 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], model: UrlMo
 
     The rule decides if one fits, else the model does at one half. Null URLs
     and those without ``://`` have an empty host and path and go to the model,
-    which has nothing but its bias to judge them by. Rows are independent;
+    which allows them, as it has nothing but its prior to judge them by. Rows are independent;
     ``keep`` names the columns to carry, all by default, and columns named
     like the new ones are replaced.
     """
     model = model or train_urls(training_urls())
-    shared = pages.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    shared = pages.sparkSession.sparkContext.broadcast((model.weights, model.scale, model.bias))
     new = ("host", "path", "rule", "block_probability", "verdict")
     carry = [c for c in (pages.columns if keep is None else keep) if c not in new]
     host, path = host_and_path(col(url_col))
@@ -133,7 +181,7 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str]], model: UrlMo
 
     def factory():
         model = UrlModel(*shared.value)
-        return lambda rows: {"p": [model.block_probability(h, p) for h, p in zip(rows["host"], rows["path"])]}
+        return lambda rows: {"p": model.block_probabilities(rows["host"], rows["path"]).tolist()}
 
     scored = attach(split, {"host": "host", "path": "path"}, factory, {"p": pa.float64()}, split.columns)
     scored = scored.withColumn("r", rule_column(F.col("host"), F.col("path"), rules))
