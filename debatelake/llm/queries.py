@@ -39,8 +39,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files ``source/lang/doc_id.txt``."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang", F.concat("doc_id", F.lit(".txt"))).alias("path"), "text")
+    """Documents as files ``number/source/lang/doc_id.txt``, ten to a number; the first of them is ``number/LICENSE``."""
+    project, own = F.floor(F.col("doc_id") / 10), F.concat("doc_id", F.lit(".txt"))
+    path = F.when(F.col("doc_id") % 10 == 0, F.concat_ws("/", project, F.lit("LICENSE"))).otherwise(F.concat_ws("/", project, "source", "lang", own))
+    docs = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
     return scan_licenses(docs, keep=["doc_id", "path"])
 
 
