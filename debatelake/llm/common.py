@@ -10,20 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
+from ..checkpoints import checkpointed, shared_folder
 from ..shipping import ship
 
+__all__ = ["SLICE_ROWS", "WordHash", "attach", "checkpointed", "col", "shared_folder", "ship", "table_size"]
+
 #: Rows turned into Python objects at a time; an Arrow batch may hold many long texts.
 SLICE_ROWS = 256
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a file in the shared checkpoint folder."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/debatelake")
-    return df.checkpoint()
-
-
 def col(name: str) -> Column:
     """A column by its literal name, dots and all."""
     return F.col("`" + name.replace("`", "``") + "`")

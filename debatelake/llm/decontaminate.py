@@ -25,6 +25,8 @@ from .common import attach, checkpointed, col, ship
 
 #: Word bytes stay, A-Z are lower-cased, other ASCII bytes part words.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
+#: Words in a window.
+WINDOW = 13
 #: Characters of benchmark text in one broadcast block.
 BLOCK_CHARS = 32_000_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +152,7 @@ def find_benchmark(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
-    window: int = 13,
+    window: int = WINDOW,
     shingle: int = 5,
     block_chars: int = BLOCK_CHARS,
     keep: Iterable[str] | None = None,
