@@ -11,8 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from debatelake.llm.common import checkpointed
-from debatelake.llm.decontaminate import contamination, find_benchmark
+from debatelake.llm.common import checkpointed, shared_folder
+from debatelake.llm.decontaminate import WINDOW, contamination, find_benchmark
 from debatelake.llm.jaccard_join import ngram_jaccard_join
 from debatelake.llm.language_id import identify_language, train_text_model
 from debatelake.llm.piece_codec import encode_digests
@@ -24,7 +24,13 @@ SECRET_MASK = "[SECRET]"
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; ``lang`` counts as declared, ``source`` as the host."""
+    """Documents whose language can be told; ``lang`` counts as declared, ``source`` as the host.
+
+    Null, empty and letterless texts go, as do texts whose language stays
+    doubtful. A null ``lang`` or ``source`` is no evidence, and without any
+    label every text stays that has letters. Each of repeated rows is judged
+    alike; an empty table gives none.
+    """
     model = train_text_model(docs)
     none = F.lit(None).cast("string")
     found = identify_language(docs, model, F.col("text"), F.col("lang"), none, F.col("source"))
@@ -53,13 +59,22 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages make up less than a twentieth."""
+    """Documents without a benchmark passage: a whole window of an item in a row, or shorter items that make up a twentieth.
+
+    Null and empty texts hold no passage and stay. Each of repeated rows is
+    judged alike; an empty benchmark keeps every row, an empty table gives none.
+    """
     found = contamination(find_benchmark(docs, table(spark, sf_dir, "benchmark")))
-    return found.where("not contaminated").select(*docs.columns)
+    whole = F.exists("hit_spans", lambda s: s["end"] - s["start"] >= WINDOW)
+    return found.where(~(F.col("contaminated") | whole)).select(*docs.columns)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mask for each secret and ``n_chars`` of the new text."""
+    """All documents, with a mask for each secret and ``n_chars`` of the new text.
+
+    Null texts stay null, and a text without secrets keeps its ``n_chars``,
+    null ones too. Repeated rows stay; an empty table gives none.
+    """
     found = scan_secrets(docs, mask=SECRET_MASK)
     changed = F.size("secret_spans") > 0
     found = found.withColumn("n_chars", F.when(changed, F.length("redacted").cast("long")).otherwise(F.col("n_chars"))).withColumn("text", F.col("redacted"))
@@ -67,6 +82,11 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of each document's token ids and of the text that they decode to.
+
+    A null text counts as empty and has the begin and end ids alone. Repeated
+    rows and null ids stay; an empty table gives none.
+    """
     return encode_digests(docs, piece_model_path())
 
 
@@ -83,12 +103,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet to the shared checkpoint folder."""
+    """All stages over ``documents``, each written as Parquet to the shared checkpoint folder and gone once the next is."""
     docs = table(spark, sf_dir, "documents")
-    sc = spark.sparkContext
-    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/debatelake"
-    folder = f"{folder}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        before = f"{folder}/{name}"
     return docs
