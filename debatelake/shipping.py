@@ -10,14 +10,15 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
-#: Rows in an Arrow batch, unless the session sets it: texts are long.
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+#: Rows and bytes of an Arrow batch, unless the session sets them: texts are long. Setting, default and value.
+ARROW = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"))
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once per Spark application, and keep Arrow batches small."""
-    if spark.conf.get(ARROW_ROWS[0]) == "10000":
-        spark.conf.set(*ARROW_ROWS)
+    for name, default, value in ARROW:
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, value)
     sc = spark.sparkContext
     if getattr(sc, "_debatelake_shipped", False):
         return
