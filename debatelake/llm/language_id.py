@@ -4,7 +4,10 @@ The posterior of a language combines four pieces of evidence: the likelihood
 of the text under byte-trigram models, the language that the markup declares,
 the language that the address suffix stands for, and the prior of the host.
 Host priors are counted by grouped aggregation of the text posteriors and
-smoothed through three levels: host, registered domain, all hosts.
+smoothed through three levels: host, registered domain, all hosts. A row's own
+posterior is taken out of all three, so that its text does not count twice.
+Texts are scored once for the priors and once for the result, which takes less
+than to write them in between.
 """
 
 from __future__ import annotations
@@ -154,17 +157,22 @@ def _sums(group: DataFrame, keys: list[str], m: int) -> DataFrame:
     return group.groupBy(*keys).agg(F.array(*[F.sum(F.col("p")[i]) for i in range(m)]).alias("counts"))
 
 
-def host_priors(soft: DataFrame, m: int) -> DataFrame:
-    """Rows (host, prior): soft counts of a host, smoothed to its domain's and those to all hosts'."""
-    hosts = checkpointed(_sums(soft.where("host is not null and host != ''"), ["host", "domain"], m))
-    domains = hosts.groupBy("domain").agg(F.array(*[F.sum(F.col("counts")[i]) for i in range(m)]).alias("dc"))
-    whole = hosts.agg(*[F.coalesce(F.sum(F.col("counts")[i]), F.lit(0.0)).alias(f"n{i}") for i in range(m)]).first()
-    total = sum(whole) + m
-    base = F.array(*[F.lit((x + 1) / total) for x in whole])
+def host_counts(soft: DataFrame, m: int) -> tuple[DataFrame, list[float]]:
+    """Rows (host, hc, dc): soft counts of languages of a host and of its domain; and those of all hosts."""
+    hosts = checkpointed(_sums(soft.where("host is not null and host != ''"), ["host", "domain"], m).withColumnRenamed("counts", "hc"))
+    domains = hosts.groupBy("domain").agg(F.array(*[F.sum(F.col("hc")[i]) for i in range(m)]).alias("dc"))
+    whole = hosts.agg(*[F.coalesce(F.sum(F.col("hc")[i]), F.lit(0.0)).alias(f"n{i}") for i in range(m)]).first()
+    return hosts.join(domains, "domain").select("host", "hc", "dc"), list(whole)
+
+
+def _smoothed_prior(own: Column, hc: Column, dc: Column, whole: list[float]) -> Column:
+    """A host's shares of languages without a row's own part in them, smoothed to its domain's and those to all hosts'."""
+    m = len(whole)
     size = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-    blend = lambda counts, lower, weight: F.zip_with(counts, lower, lambda n, q: (n + weight * q) / (size(counts) + weight))
-    domains = domains.select("domain", blend(F.col("dc"), base, DOMAIN_WEIGHT).alias("dp"))
-    return hosts.join(domains, "domain").select("host", blend(F.col("counts"), F.col("dp"), HOST_WEIGHT).alias("prior"))
+    less = lambda counts: F.zip_with(counts, own, lambda n, p: F.greatest(n - p, F.lit(0.0)))
+    blend = lambda counts, lower, weight: F.zip_with(less(counts), lower, lambda n, q: (n + weight * q) / (size(counts) - size(own) + weight))
+    base = F.transform(less(F.array(*[F.lit(float(x)) for x in whole])), lambda n: (n + 1) / (F.lit(float(sum(whole) + m)) - size(own)))
+    return blend(hc, blend(dc, base, DOMAIN_WEIGHT), HOST_WEIGHT)
 
 
 def identify_language(
@@ -208,12 +216,15 @@ def identify_language(
 
 def _fused(scored: DataFrame, languages: list[str], m: int, carry: list[str], floor: float, least: float) -> DataFrame:
     scored = scored.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
-    priors = host_priors(scored.where("n > 0").select("host", "domain", _posterior(F.col("logs")).alias("p")), m)
-    priors = checkpointed(priors)
-    if priors.count() * (8 * m + 256) <= BROADCAST_LIMIT:
-        priors = F.broadcast(priors)
-    joined = scored.join(priors, "host", "left")
-    flat = F.array(*[F.lit(float(-np.log(m)))] * m)
+    flat, nothing = F.array(*[F.lit(float(-np.log(m)))] * m), F.array(*[F.lit(0.0)] * m)
+    counts, whole = host_counts(scored.where("n > 0").select("host", "domain", _posterior(F.col("logs")).alias("p")), m)
+    counts = checkpointed(counts)
+    if counts.count() * (16 * m + 256) <= BROADCAST_LIMIT:
+        counts = F.broadcast(counts)
+    # a hot host's rows are split by adaptive execution if the counts are too many to broadcast
+    joined = scored.join(counts, "host", "left")
+    own = F.when(F.col("n") > 0, _posterior(F.col("logs"))).otherwise(nothing)
+    joined = joined.withColumn("prior", F.when(F.col("hc").isNotNull(), _smoothed_prior(own, F.col("hc"), F.col("dc"), whole)))
     prior = F.coalesce(F.transform("prior", lambda p: F.log(p)), flat)
     logs = _add(_add(F.col("logs"), prior), _add(_evidence(F.col("declared"), languages, DECLARED_RIGHT), _evidence(F.col("suffix"), languages, SUFFIX_RIGHT)))
     joined = joined.withColumn("post", _posterior(logs)).withColumn("top", F.array_max("post"))
