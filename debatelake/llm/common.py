@@ -36,7 +36,8 @@ def attach(
     ``needs`` maps the names that the function sees to columns of ``df``.
     ``factory`` runs once per task and returns the function, which gets lists
     and returns a list for each of ``fields``. A key ``_keep`` in its result
-    holds booleans that filter the rows. A carried column named like a
+    holds booleans that filter the rows. Its attribute ``done``, if it has one,
+    is called when the task ends. A carried column named like a
     computed one gives way to it.
     """
     ship(df.sparkSession)
@@ -51,13 +52,16 @@ def attach(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = factory()
-        for whole in batches:
-            for start in range(0, whole.num_rows, SLICE_ROWS):
-                batch = whole.slice(start, SLICE_ROWS)
-                out = work({k: batch.column(f"n_{k}").to_pylist() for k in wanted})
-                arrays = [batch.column(i) for i in inner] + [pa.array(out[k], kind) for k, kind in zip(keys, kinds)]
-                result = pa.RecordBatch.from_arrays(arrays, names=names)
-                yield result.filter(pa.array(out["_keep"], pa.bool_())) if "_keep" in out else result
+        try:
+            for whole in batches:
+                for start in range(0, whole.num_rows, SLICE_ROWS):
+                    batch = whole.slice(start, SLICE_ROWS)
+                    out = work({k: batch.column(f"n_{k}").to_pylist() for k in wanted})
+                    arrays = [batch.column(i) for i in inner] + [pa.array(out[k], kind) for k, kind in zip(keys, kinds)]
+                    result = pa.RecordBatch.from_arrays(arrays, names=names)
+                    yield result.filter(pa.array(out["_keep"], pa.bool_())) if "_keep" in out else result
+        finally:
+            getattr(work, "done", int)()
 
     schema = source.select(*inner).schema
     for m, kind in zip(made, kinds):

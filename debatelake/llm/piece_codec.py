@@ -34,6 +34,10 @@ from .common import attach
 MARK = "▁"
 
 
+#: Texts by which a model is told apart that normalises, drops spaces, adds no dummy prefix or has no byte fallback.
+PROBES = ("", " ", "a", " a", "a  b ", "\t\n", "Ａ ﬁ ① é é", "😀\u0378\U000e0001", "\u2028\u00a0x", "Der Rat, 12 % <b>!", "zzzqqq日本語")
+
+
 class PieceCodec:
     """Encoder and decoder of a BPE model with byte fallback and no normalisation."""
 
@@ -84,6 +88,10 @@ class PieceCodec:
             letter, other = f"{inner}+", rf"(?:(?!{inner})[^{MARK}\n])+"
         self._split = re.compile(rf"{MARK}+(?:{letter}|{other})?|{letter}|{other}|\n" if "\n" not in self.chars else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
+        for probe in PROBES:
+            if self.encode(probe) != struct.pack("<%dI" % len(ids := sp.encode(probe, add_bos=True, add_eos=True)), *ids):
+                raise ValueError(f"the model treats {probe!r} in another way: it must not normalise, and must have a dummy prefix and byte fallback")
+
     def merged(self, text: str) -> list[str]:
         """Pieces by merging best-scored pairs, leftmost first among equals."""
         parts: list[str | None] = list(text)
@@ -230,6 +238,23 @@ def _utf8(raw: bytes) -> bytes:
         return b"".join(out)
 
 
+def _working(model: bytes, work):
+    """A task's function of a codec, with the collector's walks over its memories put off until the task ends."""
+    codec, before = PieceCodec(model), gc.get_threshold()
+    gc.freeze()
+    gc.set_threshold(500_000, 20, 100)
+
+    def run(rows):
+        return work(codec, rows)
+
+    def done():
+        gc.set_threshold(*before)
+        gc.unfreeze()
+
+    run.done = done
+    return run
+
+
 def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", decoded: bool = True, keep: Iterable[str] | None = None) -> DataFrame:
     """Add ``ids`` (array of int) and, if asked, ``decoded`` to each document.
 
@@ -241,18 +266,13 @@ def encode_pieces(docs: DataFrame, model_path: str, text_col: str = "text", deco
     fields = {"ids": pa.list_(pa.int32())} | ({"decoded": pa.string()} if decoded else {})
     shared = docs.sparkSession.sparkContext.broadcast(open(model_path, "rb").read())
 
-    def factory():
-        codec = PieceCodec(shared.value)
-
-        gc.freeze()
-        gc.set_threshold(500_000, 20, 100)  # the memories hold no cycles; walking them is slow
+    def work(codec, rows):
+        ids = [codec.encode(t or "") for t in rows["text"]]
+        out = {"ids": [list(memoryview(x).cast("i")) for x in ids]}
+        return out | ({"decoded": [codec.decode(x) for x in ids]} if decoded else {})
 
-        def work(rows):
-            ids = [codec.encode(t or "") for t in rows["text"]]
-            out = {"ids": [list(memoryview(x).cast("i")) for x in ids]}
-            return out | ({"decoded": [codec.decode(x) for x in ids]} if decoded else {})
-
-        return work
+    def factory():
+        return _working(shared.value, work)
 
     return attach(docs, {"text": text_col}, factory, fields, docs.columns if keep is None else keep)
 
@@ -262,16 +282,11 @@ def encode_digests(docs: DataFrame, model_path: str, text_col: str = "text", kee
     fields = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
     shared = docs.sparkSession.sparkContext.broadcast(open(model_path, "rb").read())
 
-    def factory():
-        codec = PieceCodec(shared.value)
-
-        gc.freeze()
-        gc.set_threshold(500_000, 20, 100)  # the memories hold no cycles; walking them is slow
+    def work(codec, rows):
+        ids = [codec.encode(t or "") for t in rows["text"]]
+        return {"n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(codec.decode(x).encode()).hexdigest() for x in ids]}
 
-        def work(rows):
-            ids = [codec.encode(t or "") for t in rows["text"]]
-            return {"n_tokens": [len(x) // 4 for x in ids], "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids], "decoded_sha256": [hashlib.sha256(codec.decode(x).encode()).hexdigest() for x in ids]}
-
-        return work
+    def factory():
+        return _working(shared.value, work)
 
     return attach(docs, {"text": text_col}, factory, fields, keep)
