@@ -84,14 +84,45 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), 16)
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the URL query that rules alone decide."""
+    return op1_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("rule_verdict"))
+
+
+def secret_base_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the secret query without the method's spans."""
+    return op4_secret_scan(spark, sf_dir).drop("spans")
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the fingerprint query that depend on the texts alone."""
+    return op7_spotsigs(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+def shard_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's size in the shard query; whether its shard's slots are gapless and its size is near the others."""
+    out = op10_kd_shards(spark, sf_dir)
+    shards = out.groupBy("shard").agg(F.count("*").alias("rows"), F.min("slot").alias("least"), F.max("slot").alias("most"), F.countDistinct("slot").alias("slots"))
+    good = shards.where("least = 0 and most = rows - 1 and slots = rows").select("shard", F.lit(True).alias("gapless"))
+    return out.join(F.broadcast(good), "shard", "left").select("doc_id", "size", "law", F.coalesce("gapless", F.lit(False)).alias("gapless"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_license_scan, op3_decontaminate, op4_secret_scan, op5_toxicity, op6_piece_codec, op7_spotsigs, op8_language_id, op9_jaccard_join, op10_kd_shards)
+    for f in (op1_url_filter, op2_license_scan, op3_decontaminate, op4_secret_scan, op5_toxicity, op6_piece_codec, op7_spotsigs, op8_language_id, op9_jaccard_join, op10_kd_shards, url_rules, secret_base_columns, edited_texts, shard_slots)
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all(coalesce({_LOWER}, ''), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
+_RULES = " ".join(
+    f"when (host = '{rule.partition('/')[0]}' or ends_with(host, '.{rule.partition('/')[0]}')) and starts_with(path, '/{rule.partition('/')[2]}') then '{{{i}}}'"
+    for i, (_, rule) in sorted(enumerate(URL_RULES), key=lambda r: -len(r[1][1]))
+)
+#: Patterns of the base kinds with the least length of what they must hold, and of which group.
+_BASE = (("assign", r"(?i:password|passwd|secret|token|api_?key)[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 1, 6), ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24))
+_FOUND = " union all ".join(f"select doc_id, {i} as k, '{kind}' as kind, {least} as least, regexp_extract_all(t, '{p}') as whole, regexp_extract_all(t, '{p}', {group}) as held, regexp_split_to_array(t, '{p}') as rest from d" for i, (kind, p, group, least) in enumerate(_BASE))
+
 ORACLES: dict[str, str] = {
     "op3_decontaminate": f"""
 with items as (select item_id, {_WORDS} as w from benchmark),
@@ -122,4 +153,23 @@ reach as (select doc_id, doc_id as root from docs union select b, root from reac
 select docs.doc_id, coalesce(any_value(sizes.n), 0) as n_shingles, min(root) as component_id
 from docs left join sizes using (doc_id) join reach using (doc_id) group by 1
 """,
+    "url_rules": f"""
+with u as (select page_id, case when url like '%://%' then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+s as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path from u)
+select page_id, host, path, case {_RULES.format(*(rule for _, rule in URL_RULES))} end as rule, case {_RULES.format(*(verdict for verdict, _ in URL_RULES))} end as rule_verdict from s
+""",
+    "secret_base_columns": f"""
+with d as (select doc_id, coalesce(text, '') as t from documents), f as ({_FOUND}),
+x as (select doc_id, k, kind, least, unnest(range(1, len(whole) + 1)) as i, whole, held, rest from f),
+y as (select doc_id, k, kind, length(whole[i]) as n, length(held[i]) >= least as ok, list_sum(list_transform(rest[1:i], lambda s: length(s))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda s: length(s))), 0) as a from x),
+z as (select doc_id, kind, k, cast(a as bigint) as a, cast(a + n as bigint) as b from y where ok)
+select d.doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || b, ',' order by a, k), '')) as base_sha256 from d left join z using (doc_id) group by 1
+""",
+    "edited_texts": """
+with d as (select doc_id, coalesce(text, '') as t, coalesce(lead(text) over (order by doc_id), first_value(text) over (order by doc_id), '') as f, lead(doc_id) over (order by doc_id) is not null as later, lead(text) over (order by doc_id) as l from documents),
+e as (select doc_id, t, case when later then coalesce(l, '') else f end as f, cast(floor(length(t) / 2) as bigint) as h from d)
+select doc_id, cast(length(t) as bigint) as n_chars, sha256(substr(t, 1, length(t) - h) || substr(f, 1, h)) as edited_sha256 from e
+""",
+    "shard_slots": "select doc_id, cast(octet_length(encode(coalesce(text, ''))) + 1 as bigint) as size, 'bytes' as law, true as gapless from documents",
 }
