@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import groupby
 from operator import itemgetter
 
@@ -487,7 +487,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, vertices: DataFrame, width: int
             ok = [similar(np.frombuffer(g, np.uint64), np.frombuffer(h, np.uint64), num, den) for g, h in zip(_pylist(batch, "ga"), _pylist(batch, "gb"))]
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return checkpointed(both.mapInArrow(run, "a binary, b binary"))
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -539,24 +539,46 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     _settle(spark)
     members = counted.where(F.col("kind") == DOC).select("id", "v", "n", "t", "sig")
 
-    entries = _prefixes(counted, num, den).repartition("tok").groupBy("tok", "v").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
+    entries = _shared(_prefixes(counted, num, den), num, den)
+    vertices = members.where("n > 0").join(entries.select("v").distinct(), "v", "left_semi")
+    vertices = checkpointed(vertices.groupBy("v").agg(F.min("t").alias("t"), F.first("sig").alias("sig")))
+    known = linked(entries, vertices.select("v", "sig"), lambda pairs: _verified(docs, pairs, vertices, width, num, den), num, den, tile)
+
+    least = members.where("n > 0").groupBy("v").agg(F.min("id").alias("id")).join(known, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    least = checkpointed(least)
+    names = least.groupBy("label").agg(F.min("id").alias("component_id"))
+    named = least.join(names, "label").select("v", "component_id")
+    result = members.where("n > 0").join(named, "v").select("id", F.col("n").alias("n_shingles"), "component_id")
+    return result.unionAll(members.where("n = 0").select("id", "n", "id")).withColumnRenamed("id", id_col)
+
+
+def _shared(entries: DataFrame, num: int, den: int) -> DataFrame:
+    """Entries (tok, v, n, pos), each once, of buckets with two sets of similar size, and the bucket's ``size``."""
+    entries = entries.repartition("tok").groupBy("tok", "v").agg(F.first("n").alias("n"), F.min("pos").alias("pos"))
     # by size, a neighbour in the bucket is the closest there is
     by_size = _by("tok").orderBy("n")
     entries = entries.withColumns({"size": F.count("*").over(_by("tok")), "less": F.lag("n").over(by_size), "more": F.lead("n").over(by_size)})
-    entries = checkpointed(entries.where(f"{den} * less >= {num} * n or {den} * n >= {num} * more").drop("less", "more"))
-    vertices = members.where("n > 0").join(entries.select("v").distinct(), "v", "left_semi")
-    vertices = checkpointed(vertices.groupBy("v").agg(F.min("t").alias("t"), F.first("sig").alias("sig")))
-    rows = entries.join(vertices.select("v", "sig"), "v").withColumn("label", F.col("v"))
+    return checkpointed(entries.where(f"{den} * less >= {num} * n or {den} * n >= {num} * more").drop("less", "more"))
+
+
+def linked(entries: DataFrame, parities: DataFrame, verify: Callable[[DataFrame], DataFrame], num: int, den: int, tile: int = TILE) -> DataFrame:
+    """Components (v, label) of the sets that link.
 
-    links = known = tried = None
+    ``entries`` are as ``_shared`` gives them, ``parities`` rows (v, sig), and
+    ``verify`` keeps the pairs (a, b) that link.
+    """
+    spark = entries.sparkSession
+    rows = entries.join(parities, "v").withColumn("label", F.col("v"))
+    known = tried = None
     for step in range(3):
         rows = [_own_tiles, _ring_tiles, _last_tiles][step](rows, tile)
         found = checkpointed(_candidates(rows, num, den, last=step == 2, back=step == 1))
         pairs = found.where("a is not null").select("a", "b").distinct()
         pairs = checkpointed(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
-        new = _verified(docs, pairs, vertices, width, num, den)
+        links = checkpointed(verify(pairs))
         tried = pairs if tried is None else tried.unionAll(pairs)
-        links = new if known is None else new.unionAll(known.select(F.col("v").alias("a"), F.col("label").alias("b")))
+        if known is not None:
+            links = links.unionAll(known.select(F.col("v").alias("a"), F.col("label").alias("b")))
         known = checkpointed(components(links))
         _settle(spark)
         if step < 2:
@@ -564,14 +586,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             rows = checkpointed(_mixed(entries.join(more, "tok", "left_semi"), known))
             if rows.isEmpty():
                 break
-            rows = rows.join(vertices.select("v", "sig"), "v")
-
-    least = members.where("n > 0").groupBy("v").agg(F.min("id").alias("id")).join(known, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    least = checkpointed(least)
-    names = least.groupBy("label").agg(F.min("id").alias("component_id"))
-    named = least.join(names, "label").select("v", "component_id")
-    result = members.where("n > 0").join(named, "v").select("id", F.col("n").alias("n_shingles"), "component_id")
-    return result.unionAll(members.where("n = 0").select("id", "n", "id")).withColumnRenamed("id", id_col)
+            rows = rows.join(parities, "v")
+    return known
 
 
 def _mixed(entries: DataFrame, known: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ it. Its 32-bit hash goes into the document's set, and two documents are
 compared by the Jaccard similarity of their sets. The similarity of two sets
 is at most the quotient of their sizes: the comparison of pairs stops there
 if that is under the threshold, and the join meets only sets of the same or
-of the next length partition.
+of the next length partition. Next documents are compared without a threshold,
+as their likeness itself is asked for.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import WordHash, attach, checkpointed, col, ship
 from .decontaminate import words
-from .jaccard_join import _by, components
+from .jaccard_join import _shared, linked, parities, prefix_length
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = frozenset(
@@ -33,6 +34,8 @@ ANCHORS = frozenset(
     """.split()
 )
 CHAIN = 2
+#: Bytes of text in a range of ids.
+RANGE_BYTES = 8_000_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -114,12 +117,10 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     ship(spark)
     ids = docs.select(col(id_col).cast("long").alias("id"))
-    count = partitions or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    cuts = sorted({int(x) for x in (ids.where("id is not null").approxQuantile("id", [i / count for i in range(1, count)], 0.1 / count) or [])})
-    bucket = F.lit(0).cast("int")
-    if cuts:
-        # the number of cuts at or under the id
-        bucket = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col("id"))), F.lit(0)) if len(cuts) <= 64 else _search(cuts)
+    size = docs.agg(F.sum(F.octet_length(col(text_col)))).first()[0] or 0
+    count = partitions or max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 8, -(-size // RANGE_BYTES))
+    cuts = sorted({int(x) for x in (ids.where("id is not null").approxQuantile("id", [i / count for i in range(1, count)], 0.1 / count) if count > 1 else [])})
+    bucket = _search(cuts)
     placed = ids.withColumn("bucket", bucket).groupBy("bucket").agg(F.min(F.struct(F.col("id").isNotNull().alias("some"), "id")).alias("r")).select("bucket", "r.id").orderBy("bucket").collect()
     if not placed:
         return spark.createDataFrame([], f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
@@ -131,7 +132,8 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     guest = F.col("gb")
     rows = rows.withColumn("places", F.when(guest.isNull(), F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("guest")))).otherwise(F.array(F.struct(F.col("bucket").alias("b"), F.lit(0).alias("guest")), F.struct(guest.alias("b"), F.lit(1).alias("guest")))))
     rows = rows.select("id", "text", F.explode("places").alias("p")).select("id", "text", "p.b", "p.guest")
-    rows = rows.repartition(count, "b").sortWithinPartitions("b", "guest", F.col("id").isNotNull(), "id", "text")
+    # several ranges go to a partition, which evens out their hashes
+    rows = rows.repartition(max(-(-count // 4), int(spark.conf.get("spark.sql.shuffle.partitions"))), "b").sortWithinPartitions("b", "guest", F.col("id").isNotNull(), "id", "text")
 
     def run(batches):
         memo = WordHash(anchors)
@@ -178,31 +180,53 @@ def _search(cuts: list[int]):
     return F.when(F.col("id").isNull(), 0).otherwise(tree(0, len(cuts)))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, anchors: frozenset[bytes] = ANCHORS, chain: int = CHAIN) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (8, 10), anchors: frozenset[bytes] = ANCHORS, chain: int = CHAIN) -> DataFrame:
     """Near-duplicate classes by spot signatures: rows (id, class_id).
 
     Equal fingerprints are one vertex. Vertices of the same or of the next
-    length partition that share a signature of their prefixes are compared
-    once. Texts without words are classes of their own.
+    length partition meet in the buckets of the signatures of their prefixes,
+    where sizes, positions and parities prune the pairs, as in the n-gram join:
+    a large bucket gives a tree of pairs and not all of them. Texts without
+    words are classes of their own; a row with a null id names no class.
     """
+    num, den = threshold
     prints = fingerprints(docs, text_col, anchors, chain, [id_col]).select(col(id_col).cast("long").alias("id"), "fingerprint")
     prints = checkpointed(prints.withColumn("v", F.unhex(F.sha2("fingerprint", 256))))
-    sets = prints.where("fingerprint != ''").groupBy("v").agg(F.first("fingerprint").alias("fp")).withColumn("n", F.length("fp") / 8)
-    # sizes from threshold ** -(i) to threshold ** -(i + 1) form partition i
-    sets = sets.withColumn("part", F.floor(F.log(F.col("n")) / -F.log(F.lit(threshold)) + 1e-9))
-    k = F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1
-    mixed = F.transform(F.sequence(F.lit(0), (F.col("n") - 1).cast("int")), lambda i: F.substring(F.col("fp"), i * 8 + 1, 8))
-    short = F.slice(F.array_sort(F.transform(mixed, lambda s: F.concat(F.substring(F.md5(s), 1, 8), s))), 1, k.cast("int"))
-    tokens = sets.select("v", "fp", "n", "part", F.explode(short).alias("t"))
-    tokens = tokens.withColumn("hub", F.count("*").over(_by("t"))).where("hub > 1").drop("hub")
-    other = tokens.select("t", F.col("v").alias("w"), F.col("fp").alias("gp"), F.col("n").alias("m"), F.explode(F.array(F.col("part") - 1, "part")).alias("part"))
-    pairs = tokens.join(other, ["t", "part"]).where(f"v != w and least(n, m) >= {threshold} * greatest(n, m) and (n < m or (n = m and v < w) or n > m)").select(F.least("v", "w").alias("a"), F.greatest("v", "w").alias("b"), F.when(F.col("v") < F.col("w"), F.col("fp")).otherwise(F.col("gp")).alias("x"), F.when(F.col("v") < F.col("w"), F.col("gp")).otherwise(F.col("fp")).alias("y")).dropDuplicates(["a", "b"])
+    sets = checkpointed(prints.where("fingerprint != ''").groupBy("v").agg(F.first("fingerprint").alias("fp")))
+    step = -np.log(num / den)
 
-    def factory():
-        return lambda rows: {"_keep": [jaccard(from_text(x), from_text(y), threshold) >= threshold for x, y in zip(rows["x"], rows["y"])]}
-
-    labels = components(attach(pairs, {"x": "x", "y": "y"}, factory, {}, ["a", "b"]))
+    def run(batches):
+        for batch in batches:
+            out = []
+            for v, fp in zip(batch.column("v").to_pylist(), batch.column("fp").to_pylist()):
+                mixed = _mixed(from_text(fp))
+                n = len(mixed)
+                k = prefix_length(n, num, den)
+                prefix = np.sort(mixed)[:k]
+                # sizes from threshold ** -i to threshold ** -(i + 1) form partition i, which also meets the one below
+                part = int(np.log(n) / step + 1e-9)
+                for p in (part, part - 1):
+                    tok = (prefix + np.uint64(p + 1)) * _MULT
+                    out += zip(tok.view(np.int64).tolist(), [v] * k, [n] * k, range(k))
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out) if out else ((), (), (), ()), (pa.int64(), pa.binary(), pa.int64(), pa.int64()))], names=["tok", "v", "n", "pos"])
+
+    entries = _shared(sets.mapInArrow(run, "tok long, v binary, n long, pos long"), num, den)
+    sigs = attach(sets, {"fp": "fp"}, lambda: lambda rows: {"sig": [parities(_mixed(from_text(x))) for x in rows["fp"]]}, {"sig": pa.binary()}, ["v"])
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        x, y = (sets.select(F.col("v").alias(e), F.col("fp").alias(f"f{e}")) for e in "ab")
+        both = pairs.join(x, "a").join(y, "b")
+        alike = lambda x, y: jaccard(from_text(x), from_text(y), num / den) >= num / den - 1e-12
+        return attach(both, {"x": "fa", "y": "fb"}, lambda: lambda rows: {"_keep": [alike(x, y) for x, y in zip(rows["x"], rows["y"])]}, {}, ["a", "b"])
+
+    labels = linked(entries, checkpointed(sigs.join(entries.select("v").distinct(), "v", "left_semi")), verify, num, den)
     known = prints.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     empty = F.col("fingerprint") == ""
     classes = known.where(~empty).groupBy("label").agg(F.min("id").alias("class_id"))
     return known.where(~empty).join(classes, "label").select("id", "class_id").unionAll(known.where(empty).select("id", F.col("id").alias("class_id"))).withColumnRenamed("id", id_col)
+
+
+def _mixed(sigs: np.ndarray) -> np.ndarray:
+    """Distinct 64-bit numbers of signatures, in no order."""
+    h = (sigs.astype(np.uint64) + np.uint64(1)) * _MULT
+    return h ^ (h >> np.uint64(32))
