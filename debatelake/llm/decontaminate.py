@@ -6,9 +6,10 @@ shingle, by counts over all documents. A document position with that shingle
 is a candidate; the shingle's offset and the window's length bound where the
 window can lie, and its words are then compared one by one.
 
-The benchmark is taken in blocks of bounded size. Each block is broadcast and
-matched against every document in a map without shuffle; a larger benchmark
-takes more blocks, each map adding to the spans that the last one found.
+The benchmark is taken in blocks of bounded size. Each block's prefix tokens
+are broadcast, in flat sorted arrays, and joined with every document's shingles
+in a map without shuffle; a larger benchmark takes more blocks, each map adding
+to the spans that the last one found.
 """
 
 from __future__ import annotations
@@ -21,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, checkpointed, col, ship
+from .common import WordHash, attach, checkpointed, col, ship
 
 #: Word bytes stay, A-Z are lower-cased, other ASCII bytes part words.
 WORD_TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 #: Words in a window.
 WINDOW = 13
-#: Characters of benchmark text in one broadcast block.
-BLOCK_CHARS = 32_000_000
+#: Characters of benchmark text in one broadcast block, which takes about 10 bytes for each.
+BLOCK_CHARS = 8_000_000
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,71 +37,102 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(WORD_TABLE).split()
 
 
+def hashed(text: str | None, memo: WordHash) -> np.ndarray:
+    """The 64-bit hashes of a text's words; equal words are known by them."""
+    w = words(text)
+    return np.fromiter(map(memo.__getitem__, w), np.uint64, len(w))
+
+
 def _roll(ids: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of the runs of ``width`` word numbers."""
-    n = len(ids) - width + 1
+    """Hashes of the runs of ``width`` hashed words."""
+    n = max(len(ids) - width + 1, 0)
     h = np.zeros(n, np.uint64)
     for i in range(width):
-        h = (h ^ ids[i : i + n].astype(np.uint64)) * _MULT
+        h = (h ^ ids[i : i + n]) * _MULT
         h ^= h >> np.uint64(31)
     return h
 
 
 class Windows:
-    """Distinct windows of a block of items, indexed by one shingle each."""
+    """Distinct windows of a block of items, indexed by one shingle each; all of it in flat arrays."""
 
     def __init__(self, items: Iterable[tuple[object, str | None]], window: int, shingle: int):
-        self.vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text))
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                found.setdefault(ids[i : i + window], set()).add(item)
-        self.windows = [np.array(w, np.int64) for w in found]
-        self.items = [sorted((x for x in s if x is not None), key=str) for s in found.values()]
+        memo, parts, start, length, item = WordHash(), [], [], [], []
+        self.names: list[str | None] = []
+        total = 0
+        for name, text in items:
+            h = hashed(text, memo)
+            if not len(h):
+                continue
+            k = min(window, len(h))
+            parts.append(h)
+            start.append(total + np.arange(len(h) - k + 1))
+            length.append(np.full(len(h) - k + 1, k))
+            item.append(np.full(len(h) - k + 1, len(self.names)))
+            self.names.append(None if name is None else str(name))
+            total += len(h)
+        join = lambda xs, kind: np.concatenate(xs).astype(kind) if xs else np.empty(0, kind)
+        self.words, start, length, item = join(parts, np.uint64), join(start, np.int64), join(length, np.int64), join(item, np.int64)
         self.shingle = shingle
+        # equal windows become one, which keeps the items of all
+        keys = np.zeros(len(start), np.uint64)
+        for k in np.unique(length).tolist():
+            mine = length == k
+            keys[mine] = _roll(self.words, k)[start[mine]] ^ np.uint64(k)
+        _, first, number = np.unique(keys, return_index=True, return_inverse=True)
+        self.start, self.length = start[first], length[first]
+        pairs = np.unique(np.stack((number, item), 1), axis=0) if len(start) else np.empty((0, 2), np.int64)
+        self.items, self.of = pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(len(first) + 1))
         #: by shingle width, as windows shorter than a shingle are their own one
-        self.grams = [_roll(w, min(shingle, len(w))) for w in self.windows]
-        self.widths = sorted({min(shingle, len(w)) for w in self.windows})
-        self.keys = {k: np.unique(np.concatenate([g for g, w in zip(self.grams, self.windows) if min(shingle, len(w)) == k])) for k in self.widths}
-        self.index: dict[int, dict[int, list[tuple[int, int]]]] = {}
-
-    def number(self, text: str | None) -> np.ndarray:
-        get = self.vocabulary.get
-        return np.array([get(w, 0) for w in words(text)], np.int64)
-
-    def occurring(self, ids: np.ndarray, width: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of shingles among ``keys``, and the shingles."""
-        if len(ids) < width or not len(keys):
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        known = np.concatenate(([0], np.cumsum(ids > 0)))
-        at = np.nonzero(known[width:] - known[:-width] == width)[0]
-        if not len(at):
-            return at, np.empty(0, np.uint64)
-        h = _roll(ids, width)[at]
-        hit = keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h
-        return at[hit], h[hit]
-
-    def choose(self, counts: dict[tuple[int, int], int]) -> None:
-        """Index each window by its rarest shingle under ``counts``."""
-        for i, (w, g) in enumerate(zip(self.windows, self.grams)):
-            k = min(self.shingle, len(w))
-            offset = min(range(len(g)), key=lambda j: (counts.get((k, int(g[j])), 0), int(g[j])))
-            self.index.setdefault(k, {}).setdefault(int(g[offset]), []).append((i, offset))
-        self.prefix = {k: np.array(sorted(v), np.uint64) for k, v in self.index.items()}
-
-    def spans(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], set]:
-        """Word spans of the windows in a document, and their items."""
-        found, items = [], set()
-        for k, index in self.index.items():
-            at, grams = self.occurring(ids, k, self.prefix[k])
-            for p, g in zip(at.tolist(), grams.tolist()):
-                for i, offset in index[g]:
-                    start, w = p - offset, self.windows[i]
-                    if start >= 0 and start + len(w) <= len(ids) and (ids[start : start + len(w)] == w).all():
-                        found.append((start, start + len(w)))
-                        items.update(self.items[i])
-        return found, items
+        self.widths = sorted({min(shingle, k) for k in np.unique(self.length).tolist()})
+        self.grams = {k: _roll(self.words, k) for k in self.widths}
+        inside = {k: np.unique(np.concatenate([(self.start[self.length == w][:, None] + np.arange(w - k + 1)).ravel() for w in np.unique(self.length).tolist() if min(shingle, w) == k])) for k in self.widths}
+        self.keys = {k: np.unique(self.grams[k][inside[k]]) for k in self.widths}
+
+    def choose(self, counts: dict[int, np.ndarray]) -> None:
+        """Index each window by its rarest shingle under ``counts`` (by width, in the order of the keys)."""
+        index: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        for w in np.unique(self.length).tolist():
+            k = min(self.shingle, w)
+            mine = np.nonzero(self.length == w)[0]
+            places = self.start[mine][:, None] + np.arange(w - k + 1)
+            offset = counts[k][np.searchsorted(self.keys[k], self.grams[k][places])].argmin(1)
+            index.setdefault(k, []).append((self.grams[k][self.start[mine] + offset], mine, offset))
+        self.index = {}
+        for k, parts in index.items():
+            token, window, offset = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(token, kind="stable")
+            tokens, first = np.unique(token[order], return_index=True)
+            self.index[k] = tokens, np.append(first, len(order)), window[order], offset[order]
+        self.keys, self.grams = {}, {}
+
+    def spans(self, words: np.ndarray) -> tuple[list[tuple[int, int]], set]:
+        """Word spans of the windows in a document of hashed words, and the names of their items, None among them."""
+        spans, items = [], set()
+        for k, (tokens, first, window, offset) in self.index.items():
+            if len(words) < k:
+                continue
+            h = _roll(words, k)
+            t = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
+            at = np.nonzero(tokens[t] == h)[0]
+            if not len(at):
+                continue
+            t = t[at]
+            many = first[t + 1] - first[t]
+            entry = np.repeat(first[t] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            begin = np.repeat(at, many) - offset[entry]
+            found = window[entry]
+            size = self.length[found]
+            # the shingle's place and the window's length say where it would lie
+            fits = (begin >= 0) & (begin + size <= len(words))
+            for w in np.unique(size[fits]).tolist():
+                mine = np.nonzero(fits & (size == w))[0]
+                steps = np.arange(w)
+                same = (words[begin[mine][:, None] + steps] == self.words[self.start[found[mine]][:, None] + steps]).all(1)
+                for b, n in zip(begin[mine][same].tolist(), found[mine][same].tolist()):
+                    spans.append((b, b + w))
+                    items.update(self.names[i] for i in self.items[self.of[n] : self.of[n + 1]].tolist())
+        return spans, items
 
 
 def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -123,24 +155,33 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int):
         yield [(r.id, r.text) for r in part]
 
 
-def _counts(docs: DataFrame, text_col: str, shared) -> dict[tuple[int, int], int]:
+def _counts(docs: DataFrame, text_col: str, shared, block: Windows) -> dict[int, np.ndarray]:
     """Occurrences in all documents of the block's shingles; no more rows than the block has."""
 
     def run(batches):
-        block, sums = shared.value, {}
+        keys, memo = shared.value, WordHash()
+        sums = {k: np.zeros(len(x), np.int64) for k, x in keys.items()}
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 for text in batch.column("text").slice(i, 256).to_pylist():
-                    ids = block.number(text)
-                    for k in block.widths:
-                        for g in block.occurring(ids, k, block.keys[k])[1].tolist():
-                            sums[k, g] = sums.get((k, g), 0) + 1
-        k = np.array([x[0] for x in sums], np.int32)
-        g = np.array([x[1] for x in sums], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(g), pa.array(list(sums.values()), pa.int64())], names=["k", "g", "n"])
-
-    rows = docs.select(col(text_col).alias("text")).mapInArrow(run, "k int, g long, n long").groupBy("k", "g").agg(F.sum("n").alias("n")).collect()
-    return {(r.k, r.g % 2**64): r.n for r in rows}
+                    words = hashed(text, memo)
+                    for k, known in keys.items():
+                        if len(words) >= k:
+                            h = _roll(words, k)
+                            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                            at = at[known[at] == h]
+                            if len(at):
+                                np.add.at(sums[k], at, 1)
+        for k, n in sums.items():
+            at = np.nonzero(n)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), k, np.int32)), pa.array(at), pa.array(n[at])], names=["k", "at", "n"])
+
+    found = docs.select(col(text_col).alias("text")).mapInArrow(run, "k int, at long, n long").groupBy("k", "at").agg(F.sum("n").alias("n")).toArrow()
+    k, at, n = (found.column(c).to_numpy() for c in ("k", "at", "n"))
+    out = {w: np.zeros(len(x), np.int64) for w, x in block.keys.items()}
+    for w in out:
+        out[w][at[k == w]] = n[k == w]
+    return out
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -162,7 +203,7 @@ def find_benchmark(
     New columns: ``n_words``, ``hit_spans`` (merged word spans covered by
     benchmark windows) and ``items`` (ids of items with such windows, sorted as
     strings). Null and empty texts have no words; items without words have no
-    windows; items with a null id give hits but no id. Repeated documents and
+    windows; items with a null id give hits but no id, so ``items`` lacks them. Repeated documents and
     items are each counted on their own. ``keep`` names the columns to carry,
     all by default; columns named like the new ones are replaced. An empty
     benchmark leaves every document without hits.
@@ -174,26 +215,30 @@ def find_benchmark(
     source, needs, done = docs, {"text": text_col}, 0
     for part in _blocks(benchmark, item_col, item_text_col, block_chars):
         block = Windows(part, window, shingle)
-        counting = sc.broadcast(block)
-        block.choose(_counts(docs, text_col, counting))
+        if not len(block.start):
+            continue
+        counting = sc.broadcast(block.keys)
+        block.choose(_counts(docs, text_col, counting, block))
+        counting.unpersist()
         shared = sc.broadcast(block)
 
         def factory(shared=shared):
-            block = shared.value
+            block, memo = shared.value, WordHash()
 
             def work(rows):
                 before = zip(rows["spans"], rows["items"]) if "spans" in rows else None
                 n, spans, items = [], [], []
                 for text in rows["text"]:
-                    ids = block.number(text)
+                    ids = hashed(text, memo)
                     s, x = block.spans(ids)
+                    x.discard(None)
                     if before:
                         s0, x0 = next(before)
-                        # ids of earlier blocks are strings; an item's texts may be in several blocks
-                        s, x = s + [(p["start"], p["end"]) for p in s0], {str(i) for i in x} | set(x0)
+                        # an item's texts may be in several blocks
+                        s, x = s + [(p["start"], p["end"]) for p in s0], x | set(x0)
                     n.append(len(ids))
                     spans.append([{"start": a, "end": b} for a, b in merged(s)])
-                    items.append(sorted(map(str, x)))
+                    items.append(sorted(x))
                 return {"n_words": n, "hit_spans": spans, "items": items}
 
             return work
