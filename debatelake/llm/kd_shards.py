@@ -22,16 +22,22 @@ from .jaccard_join import _by
 BINS, CLOSE = 512, 2e-4
 
 
+def _numbers(spark, names: str, rows: Sequence[tuple[int, ...]]) -> DataFrame:
+    """A small table of whole numbers as literals, which needs no Python on the executors."""
+    wide = lambda row: ", ".join(f"cast({x} as bigint)" for x in row)
+    return spark.sql(f"select * from values {', '.join(f'({wide(row)})' for row in rows)} as t({names})")
+
+
 def _medians(rows: DataFrame, nodes: dict[int, dict]) -> None:
     """Put a ``cut`` into each node: rows with at most that value go left, None if no cut parts them."""
     open_ = {k: n | {"lo": n["low"], "hi": n["high"], "below": 0} for k, n in nodes.items()}
     for n in nodes.values():
         n["cut"], n["miss"] = None, n["weight"]
     while open_:
-        table = rows.sparkSession.createDataFrame([(k, n["dim"], n["lo"], max(1, -(-(n["hi"] - n["lo"] + 1) // BINS))) for k, n in open_.items()], "node int, dim int, lo long, step long")
+        table = _numbers(rows.sparkSession, "node, dim, lo, step", [(k, n["dim"], n["lo"], max(1, -(-(n["hi"] - n["lo"] + 1) // BINS))) for k, n in open_.items()])
         dims = F.array(*[F.col(c) for c in rows.columns if c.startswith("x")])
         steps = {k: max(1, -(-(n["hi"] - n["lo"] + 1) // BINS)) for k, n in open_.items()}
-        found = rows.join(F.broadcast(table), "node").withColumn("bin", F.floor((F.get(dims, F.col("dim")) - F.col("lo")) / F.col("step")))
+        found = rows.join(F.broadcast(table), "node").withColumn("bin", F.floor((F.get(dims, F.col("dim").cast("int")) - F.col("lo")) / F.col("step")))
         found = found.where((F.col("bin") >= 0) & (F.col("bin") < BINS)).groupBy("node", "bin").agg(F.sum("w").alias("w")).collect()
         sums: dict[int, list[tuple[int, int]]] = {}
         for r in found:
@@ -88,9 +94,9 @@ def kd_shards(rows: DataFrame, dims: Sequence[str], weight_col: str, target_weig
             if n["cut"] is not None:
                 first, count = numbers[k]
                 numbers[first], numbers[first + n["left"]] = (first, n["left"]), (first + n["left"], count - n["left"])
-        table = rows.sparkSession.createDataFrame(cuts, "node int, dim int, cut long, right int")
-        value = F.get(F.array(*xs), F.col("dim"))
-        held = held.join(F.broadcast(table), "node", "left").withColumn("node", F.when(value > F.col("cut"), F.col("right")).otherwise(F.col("node"))).drop("dim", "cut", "right")
+        table = _numbers(rows.sparkSession, "node, dim, cut, right", cuts)
+        value = F.get(F.array(*xs), F.col("dim").cast("int"))
+        held = held.join(F.broadcast(table), "node", "left").withColumn("node", F.when(value > F.col("cut"), F.col("right").cast("int")).otherwise(F.col("node"))).drop("dim", "cut", "right")
         level += 1
         held = checkpointed(held) if level % 4 == 0 else held
         stats = ranges(held)
