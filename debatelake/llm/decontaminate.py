@@ -53,6 +53,25 @@ def _roll(ids: np.ndarray, width: int) -> np.ndarray:
     return h
 
 
+#: Bits of a hash that a sieve looks at.
+SIEVE = 20
+
+
+def _sieve(tokens: np.ndarray) -> np.ndarray:
+    """By the first bits of a hash, whether a token begins so."""
+    out = np.zeros(1 << SIEVE, bool)
+    out[(tokens >> np.uint64(64 - SIEVE)).astype(np.int64)] = True
+    return out
+
+
+def _among(h: np.ndarray, tokens: np.ndarray, sieve: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of hashes that are among sorted tokens, and which these are."""
+    at = np.nonzero(sieve[(h >> np.uint64(64 - SIEVE)).astype(np.int64)])[0]
+    t = np.minimum(np.searchsorted(tokens, h[at]), len(tokens) - 1)
+    hit = tokens[t] == h[at]
+    return at[hit], t[hit]
+
+
 class Windows:
     """Distinct windows of a block of items, indexed by one shingle each; all of it in flat arrays."""
 
@@ -103,21 +122,18 @@ class Windows:
             token, window, offset = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(token, kind="stable")
             tokens, first = np.unique(token[order], return_index=True)
-            self.index[k] = tokens, np.append(first, len(order)), window[order], offset[order]
+            self.index[k] = tokens, _sieve(tokens), np.append(first, len(order)), window[order], offset[order]
         self.keys, self.grams = {}, {}
 
     def spans(self, words: np.ndarray) -> tuple[list[tuple[int, int]], set]:
         """Word spans of the windows in a document of hashed words, and the names of their items, None among them."""
         spans, items = [], set()
-        for k, (tokens, first, window, offset) in self.index.items():
+        for k, (tokens, sieve, first, window, offset) in self.index.items():
             if len(words) < k:
                 continue
-            h = _roll(words, k)
-            t = np.minimum(np.searchsorted(tokens, h), len(tokens) - 1)
-            at = np.nonzero(tokens[t] == h)[0]
+            at, t = _among(_roll(words, k), tokens, sieve)
             if not len(at):
                 continue
-            t = t[at]
             many = first[t + 1] - first[t]
             entry = np.repeat(first[t] - np.cumsum(many) + many, many) + np.arange(many.sum())
             begin = np.repeat(at, many) - offset[entry]
@@ -160,16 +176,14 @@ def _counts(docs: DataFrame, text_col: str, shared, block: Windows) -> dict[int,
 
     def run(batches):
         keys, memo = shared.value, WordHash()
-        sums = {k: np.zeros(len(x), np.int64) for k, x in keys.items()}
+        sums, sieves = {k: np.zeros(len(x), np.int64) for k, x in keys.items()}, {k: _sieve(x) for k, x in keys.items()}
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 for text in batch.column("text").slice(i, 256).to_pylist():
                     words = hashed(text, memo)
                     for k, known in keys.items():
                         if len(words) >= k:
-                            h = _roll(words, k)
-                            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                            at = at[known[at] == h]
+                            at = _among(_roll(words, k), known, sieves[k])[1]
                             if len(at):
                                 np.add.at(sums[k], at, 1)
         for k, n in sums.items():
