@@ -37,6 +37,26 @@ WEAK_PARTY = "P010"
 CONTINUATIONS = ("DE ", "DU ", "DES ", "D'", "À ", "A ")
 FRAGMENT_STARTS = ("A ", "À ", "AU ", "AUX ", "D'", "DE ", "DU ", "DES ", "ENTRE ", "ET ", "OU ", "POUR ", "RELATIF ", "RELATIVE ", "RELATIFS ", "RELATIVES ", "SUR ")
 OPEN_ENDS = ("A", "À", "AU", "AUX", "D", "DE", "DU", "DES", "ET", "OU", "POUR", "RELATIF", "RELATIVE", "SUR", "LA", "LE", "LES", "L'")
+# Fixed values of official summaries: its head, what ends it, starts of business that is no topic, titles of tables and
+# of a law's parts, words of tables, titles that open a new topic without a number, and words that may follow a number.
+SUMMARY_HEAD = "SOMMAIRE"
+SUMMARY_ENDS = ("COMPTE RENDU", "PRÉSIDENCE", "SÉANCE DU", "M. LE PRÉSIDENT", "LA SÉANCE EST OUVERTE")
+PROCEDURAL_STARTS = (
+    "M.", "MM.", "MME", "MME.", "MMES", "MMES.", "MADAME", "MONSIEUR", "AMENDEMENT", "AMENDEMENTS", "QUESTION DE",
+    "REJET", "ADOPTION", "SCRUTIN", "RAPPEL AU RÈGLEMENT DE M.",
+)
+FALSE_TITLES = ("TITRE I", "TITRE IER", "TITRE I ER", "ORIENTATIONS ET OBJECTIFS", "FRACTION DE LA PART NETTE TAXABLE", "TRANCHE DE TARIF", "TRANCHES DE TARIF")
+WHOLE_FALSE_TITLES = ("TARIF APPLICABLE",)
+TABLE_WORDS = ("TARIF", "FRACTION", "PART NETTE", "TAXABLE", "N'EXCÉDANT", "N EXCÉDANT")
+LAW_PARTS = ("ARTICLE", "TITRE", "CHAPITRE", "SECTION")
+UNNUMBERED_MAJORS = ("QUESTIONS AU GOUVERNEMENT", "QUESTIONS ORALES SANS DÉBAT", "PACTE CIVIL DE SOLIDARITÉ", "LOI DE FINANCEMENT", "RAPPELS AU RÈGLEMENT", "ORDRE DU JOUR")
+GLUED_STARTS = ("QUESTIONS", "ORDRE", "FAIT", "DÉPÔT", "RAPPEL", "RAPPELS", "PACTE", "LOI", "MODIFICATION", "COMMUNICATION")
+# Words after which a last number is a year or an article and no page.
+NUMBERED_THINGS = ("POUR", "EN", "DE", "DU", "DES", "ARTICLE", "RN")
+# What a title was worded like before (detail of a debate), openings that announce a title, and glued words.
+DEBATE_DETAILS = ("Explications de vote", "Discussion générale", "Suite de la discussion", "Discussion d'un", "Vote sur")
+ANNOUNCEMENTS = ("Nous passons", "Nous en revenons", "Nous revenons", "On en revient")
+GLUED_WORDS = {"MODIFICATIONDE": "MODIFICATION DE", "ORDONNANCERELATIVE": "ORDONNANCE RELATIVE"}
 # Capitals that scans write without their accents.
 ACCENTS = {"EPERNAY": "ÉPERNAY", "REGLEMENT": "RÈGLEMENT", "REFORME": "RÉFORME", "SECURITE": "SÉCURITÉ", "WARTSILA": "WÄRTSILÄ"}
 

@@ -130,12 +130,17 @@ def clean_title(x: Column) -> Column:
     return F.regexp_replace(out, rf"([{_LETTER}])'\s+(?=[{_LETTER}])", "$1'")
 
 
-_DETAIL = r"\s+(?:Explications de vote|Discussion générale|Suite de la discussion|Discussion d['’ ]un|Vote sur).*$"
+def phrases(words: Iterable[str]) -> str:
+    """A pattern of any of the phrases, with any white space inside and accents of capitals or none."""
+    loose = str.maketrans({"É": "[ÉE]", "È": "[ÈE]", "Ô": "[ÔO]", "À": "[ÀA]", ".": r"\.", "'": "['’ ]", " ": r"\s+"})
+    return "(?:" + "|".join(w.translate(loose) for w in sorted(words, key=len, reverse=True)) + ")"
 
 
 def normalize_major_title(x: Column) -> Column:
-    t = strip(F.regexp_replace(x, _DETAIL, ""))
-    t = F.regexp_replace(F.regexp_replace(t, r"(?U)\bMODIFICATIONDE\b", "MODIFICATION DE"), r"(?U)\bORDONNANCERELATIVE\b", "ORDONNANCE RELATIVE")
+    """A title without the detail of its debate, glued words parted."""
+    t = strip(F.regexp_replace(x, rf"\s+{phrases(C.DEBATE_DETAILS)}.*$", ""))
+    for glued, right in C.GLUED_WORDS.items():
+        t = F.regexp_replace(t, rf"(?U)\b{glued}\b", right)
     return clean_title(squeeze(t))
 
 
@@ -157,7 +162,8 @@ def _subtopic_candidate(t: Column) -> Column:
 def match_subtopic(x: Column) -> Column:
     """An unnumbered title, alone or after the last sentence; else null."""
     t = strip_wrappers(x)
-    announced = strip(F.regexp_extract(t, r"(?U)\b(?:Nous\s+(?:passons|en\s+revenons|revenons)|On\s+en\s+revient)\b.+?\s+([A-ZÀ-ÖØ-Þ][A-ZÀ-ÖØ-Þ' -]+[A-ZÀ-ÖØ-Þ])\s*$", 1))
+    capital = r"[A-ZÀ-ÖØ-Þ]"
+    announced = strip(F.regexp_extract(t, rf"(?U)\b{phrases(C.ANNOUNCEMENTS)}\b.+?\s+({capital}(?:{capital}|[' -])+{capital})\s*$", 1))
     parts = F.split(t, r"[.!?;:]\s+")
     tail = strip(F.element_at(parts, -1))
     trailing = (F.size(parts) > 1) & ~tail.rlike(r"(?iuU)\bla parole est\b") & _subtopic_candidate(tail)
