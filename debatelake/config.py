@@ -31,6 +31,11 @@ TERMS = (
 )
 # Historical labels and the party acronym that stands for each.
 SPEECH_PARTY_ALIASES = {"ps": "SOC", "rpr": "R-UMP", "pcf": "GDR", "rcv": "RRDP"}
+# Kinds of mandate from the first that counts as a person's status, clubs that a second one displaces, and
+# the archive's address of a deputy in a directory.
+STATUS_KINDS = ("ASSEMBLEE", "SENAT", "GOUVERNEMENT", "MINISTERE", "PRESREP", "CONSTITU")
+WEAK_CLUBS = ("non inscrit", "non-inscrit", "non inscrits")
+DIRECTORY_PATH = "/sycomore/fiche"
 UNKNOWN_PARTY = "P000"
 WEAK_PARTY = "P010"
 # Starts of a title that carries on the line before.

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .. import schemas
 from ..functions import text as X
 from ..functions import values as V
 from ..operators import aggregates as A
 from ..operators import joins as J
 from ..operators import windows as W
+from ..sources.html_pages import directory_id
 from ..sources.readers import as_list, scalar
 
 
@@ -33,12 +35,21 @@ def actor_mandates(docs: DataFrame) -> DataFrame:
     c = F.col("m")
     return m.select(
         "mp_id", scalar(c, "$.uid").alias("uid"), scalar(c, "$.typeOrgane").alias("kind"), scalar(c, "$.legislature").alias("term"),
-        V.iso_date(scalar(c, "$.dateDebut")).alias("mandate_start"), V.iso_date(scalar(c, "$.dateFin")).alias("mandate_end"),
+        F.coalesce(V.iso_date(scalar(c, "$.mandature.datePriseFonction")), V.iso_date(scalar(c, "$.dateDebut"))).alias("mandate_start"), V.iso_date(scalar(c, "$.dateFin")).alias("mandate_end"), V.iso_date(scalar(c, "$.dateDebut")).alias("election_date"),
         F.get(as_list(c, "$.organes.organeRef", "string"), 0).alias("organ"),
         V.constituency(scalar(c, "$.election.lieu.departement"), scalar(c, "$.election.lieu.numCirco")).alias("constituency"),
     )
 
 
+def politicians(docs: DataFrame, as_of: str, country_id: int = 3) -> DataFrame:
+    """The politician table of actor documents: persons with years in office and status; what no document has is null."""
+    m = actor_mandates(docs)
+    took = A.seniority(m.where("kind = 'ASSEMBLEE' and mandate_start is not null"), ["mp_id"], "mandate_start", "mandate_end", as_of)
+    status = m.where(X.non_empty(F.col("kind"))).groupBy("mp_id").agg(A.priority_pick(F.col("kind"), C.STATUS_KINDS).alias("status"))
+    rows = actors(docs).join(took, "mp_id", "left").join(status, "mp_id", "left").withColumn("country_id", F.lit(country_id))
+    return schemas.project(rows, schemas.POLITICIAN)
+
+
 def organ_labels(organs: DataFrame) -> DataFrame:
     """Label of an organ, by the first of four fields that has one, else its id."""
     d = F.col("doc")
@@ -65,11 +76,60 @@ def party_ids(club: Column, labels: dict[str, str]) -> Column:
     return F.when(~X.non_empty(club), "").when(F.size(found) == 0, C.UNKNOWN_PARTY).otherwise(F.array_join(X.drop_weak(found), ";"))
 
 
-def match_people(scraped: DataFrame, known: DataFrame) -> DataFrame:
-    """``mp_id`` by name and birth date, first wins, else by a name that only one person has."""
-    keyed = known.select(X.name_key(F.concat_ws(" ", "first_name", "last_name")).alias("_k"), "birth_date", "mp_id")
-    dated = keyed.groupBy("_k", "birth_date").agg(F.min("mp_id").alias("_by_date"))
-    unique = keyed.groupBy("_k").agg(F.count("*").alias("_n"), F.min("mp_id").alias("_by_name")).where("_n = 1").drop("_n")
+def final_clubs(club: Column) -> Column:
+    """A ``;`` list of distinct clubs, without those that stand for none if there is another."""
+    all_ = F.array_distinct(F.filter(F.transform(F.split(F.coalesce(club, F.lit("")), ";"), F.trim), lambda c: c != ""))
+    strong = F.filter(all_, lambda c: ~X.label_key(c).isin(*C.WEAK_CLUBS))
+    return F.array_join(F.when(F.size(strong) > 0, strong).otherwise(all_), ";")
+
+
+def relabel(mandate: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Final clubs, and the party of a club where a mandate has none or an unknown one."""
+    party, mapped = F.coalesce("party_id", F.lit("")), party_ids(F.col("club"), labels)
+    asks = party.isin("", C.UNKNOWN_PARTY) & (mapped != "")
+    return mandate.withColumn("club", final_clubs(F.col("club"))).withColumn("party_id", F.when(asks, mapped).otherwise(F.col("party_id")))
+
+
+def mandate_rows(docs: DataFrame, organs: DataFrame, labels: dict[str, str], profile: str, country_id: int = 3) -> DataFrame:
+    """The mandate table of actor documents: a row a person and term, with party, clubs, committees and source."""
+    m = actor_mandates(docs)
+    dates = m.where("kind = 'ASSEMBLEE'").groupBy("mp_id", "term").agg(F.min("election_date").alias("election_date"))
+    rows = term_mandates(m, organs).join(dates, ["mp_id", "term"], "left").withColumn("club", final_clubs(F.col("club")))
+    party = party_ids(F.col("club"), labels)
+    rows = rows.withColumns({"party_id": F.when(party == "", C.UNKNOWN_PARTY).otherwise(party), "source_url": V.profile_url(F.col("mp_id"), profile), "country_id": F.lit(country_id)})
+    return schemas.project(rows, schemas.MANDATE)
+
+
+def birth_line(lines: Column) -> Column:
+    """Struct (birth_date, birth_place) of the first line like ``Né le 3 mai 1951 à Lyon``."""
+    said = r"\bN[ée]e?\s+le\s+(.+?)(?:\s+à\s+(.+))?$"
+    line = F.get(F.filter(lines, lambda x: x.rlike(said)), 0)
+    return F.struct(V.french_date(F.regexp_extract(line, said, 1)).alias("birth_date"), F.nullif(F.trim(F.regexp_extract(line, said, 2)), F.lit("")).alias("birth_place"))
+
+
+def directory_links(pages: DataFrame, page: str, links: str, base: str) -> DataFrame:
+    """Distinct (sycomore_id, url, name) of the deputies that listing pages link to, the first link of each id."""
+    found = pages.select(F.col(page).alias("_page"), F.posexplode(links).alias("_pos", "l")).where(F.col("l.href").contains(C.DIRECTORY_PATH) & X.non_empty(F.col("l.label")))
+    href = F.col("l.href")
+    url = F.when(href.rlike("^https?://"), href).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace(href, "^/+", "")))
+    rows = found.select("_page", "_pos", url.alias("url"), F.trim("l.label").alias("name")).withColumn("sycomore_id", directory_id(F.col("url"))).where("sycomore_id is not null")
+    return W.keep_first(rows, ["sycomore_id"], ["_page", "_pos"])[0].select("sycomore_id", "url", "name")
+
+
+def distinct_ids(people: DataFrame, known: DataFrame, generated: str = "_generated", order: str = "url") -> DataFrame:
+    """The generated ids, with three more digits where an id is taken: by a known person or by one earlier in order."""
+    taken = known.select(F.regexp_extract("mp_id", r"^(PA9\d{6})(\d{3})?$", 1).alias(generated), F.regexp_extract("mp_id", r"^PA9\d{6}(\d{3})?$", 1).alias("_end")).where(F.col(generated) != "")
+    taken = taken.groupBy(generated).agg(F.max(F.when(F.col("_end") == "", 0).otherwise(F.col("_end").cast("int"))).alias("_last"))
+    rank = F.row_number().over(Window.partitionBy(generated).orderBy(order))
+    numbered = people.join(J.small(taken), generated, "left").withColumn("_nth", F.coalesce(F.col("_last"), F.lit(-1)) + rank)
+    return numbered.withColumn(generated, F.when(F.col("_nth") == 0, F.col(generated)).otherwise(F.concat(generated, F.format_string("%03d", "_nth")))).drop("_last", "_nth")
+
+
+def match_people(scraped: DataFrame, known: DataFrame, order: str = "mp_id") -> DataFrame:
+    """``matched_id`` by name and birth date, the first in order, else by a name that only one id has."""
+    keyed = known.select(X.name_key(F.concat_ws(" ", "first_name", "last_name")).alias("_k"), "birth_date", "mp_id", F.col(order).alias("_o")).where("_k <> ''")
+    dated = keyed.where("birth_date is not null").groupBy("_k", "birth_date").agg(F.min_by("mp_id", F.struct("_o", "mp_id")).alias("_by_date"))
+    unique = keyed.groupBy("_k").agg(F.countDistinct("mp_id").alias("_n"), F.min("mp_id").alias("_by_name")).where("_n = 1").drop("_n")
     rows = scraped.withColumn("_k", X.name_key(F.col("full_name")))
     return rows.join(J.small(dated), ["_k", "birth_date"], "left").join(J.small(unique), "_k", "left").withColumn("matched_id", F.coalesce("_by_date", "_by_name")).drop("_k", "_by_date", "_by_name")
 
@@ -82,7 +142,9 @@ def augment(politician: DataFrame, mandate: DataFrame, scraped: DataFrame) -> tu
     """
     people = match_people(scraped, politician)
     shaped = F.when(F.col("matched_id").rlike(r"^PA\d+$"), F.col("matched_id"))
-    people = people.withColumn("_generated", V.fallback_id(F.col("sycomore_id"), F.col("url"))).withColumn("mp_id", F.coalesce(F.nullif("pa_id", F.lit("")), shaped, "_generated"))
+    people = people.withColumn("_given", F.coalesce(F.nullif("pa_id", F.lit("")), shaped)).withColumn("_generated", F.when(F.col("_given").isNull(), V.fallback_id(F.col("sycomore_id"), F.col("sycomore_id"))))
+    alone = distinct_ids(people.where("_given is null"), politician)
+    people = people.where("_given is not null").unionByName(alone).withColumn("mp_id", F.coalesce("_given", "_generated"))
     moves = people.where("matched_id is not null and matched_id <> mp_id").select(F.col("matched_id").alias("old"), F.col("mp_id").alias("new")).dropDuplicates(["old"])
 
     def migrate(df):
@@ -98,10 +160,33 @@ def augment(politician: DataFrame, mandate: DataFrame, scraped: DataFrame) -> tu
     return politician.unionByName(new_people.drop("url"), allowMissingColumns=True), mandate.unionByName(new_mandates, allowMissingColumns=True), reports
 
 
+def without_duplicates(politician: DataFrame, mandate: DataFrame, order: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+    """The first row of each key in order, and reports of the rest."""
+    people, again = W.keep_first(politician, ["mp_id"], [order])
+    seats, twice = W.keep_first(mandate, ["mp_id", "term"], [order])
+    kept = seats.select("mp_id", "term", F.col("source_url").alias("kept_source"))
+    source = F.col("source_url") if "source_url" in politician.columns else F.lit(None).cast("string")
+    reports = {
+        "duplicate_politicians": again.select("mp_id", F.lit("local-first").alias("kept_source"), source.alias("discarded_source")),
+        "duplicate_mandates": twice.select("mp_id", "term", F.col("source_url").alias("discarded_source")).join(kept, ["mp_id", "term"], "left"),
+    }
+    return people, seats, reports
+
+
+def unresolved_parties(mandate: DataFrame) -> DataFrame:
+    """Mandates without a known party."""
+    return mandate.where(F.coalesce("party_id", F.lit("")).isin("", C.UNKNOWN_PARTY))
+
+
 def validate(politician: DataFrame, mandate: DataFrame) -> DataFrame:
     """Violated rules and how many rows violate them; empty if all hold."""
     dup = lambda df, key: df.groupBy(*key).count().where("count > 1")
-    rules = [("duplicate_politician", dup(politician, ["mp_id"])), ("duplicate_mandate", dup(mandate, ["mp_id", "term"])), ("mandate_without_politician", J.orphans(mandate, politician, "mp_id", "mp_id")), ("mandate_without_start", mandate.where("mandate_start is null"))]
+    ids = politician.select("mp_id").unionAll(mandate.select("mp_id"))
+    rules = [
+        ("empty_id", ids.where(~X.non_empty(F.col("mp_id")))), ("foreign_id", ids.where(F.col("mp_id").startswith("SYC"))),
+        ("duplicate_politician", dup(politician, ["mp_id"])), ("duplicate_mandate", dup(mandate, ["mp_id", "term"])),
+        ("mandate_without_politician", J.orphans(mandate, politician, "mp_id", "mp_id")), ("mandate_without_start", mandate.where("mandate_start is null")),
+    ]
     out = None
     for name, rows in rules:
         one = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("rule"), "n")
