@@ -143,10 +143,15 @@ def _evidence(name: Column, languages: list[str], right: float) -> Column:
 
 
 def _posterior(logs: Column) -> Column:
-    top = F.array_max(logs)
-    e = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(e, lambda x: x / total)
+    """Shares by their logarithms; the total is passed in, as a lambda would take it anew for each element."""
+    e = F.transform(logs, lambda x: F.exp(x))
+    whole = F.struct(e.alias("e"), F.aggregate(e, F.lit(0.0), lambda a, x: a + x).alias("total"))
+    return F.flatten(F.transform(F.array(whole), lambda w: F.transform(w["e"], lambda x: x / w["total"])))
+
+
+def _levelled(logs: Column) -> Column:
+    """Logarithms with 0 as the greatest."""
+    return F.flatten(F.transform(F.array(F.struct(logs.alias("l"), F.array_max(logs).alias("top"))), lambda w: F.transform(w["l"], lambda x: x - w["top"])))
 
 
 def _add(a: Column, b: Column) -> Column:
@@ -158,21 +163,28 @@ def _sums(group: DataFrame, keys: list[str], m: int) -> DataFrame:
 
 
 def host_counts(soft: DataFrame, m: int) -> tuple[DataFrame, list[float]]:
-    """Rows (host, hc, dc): soft counts of languages of a host and of its domain; and those of all hosts."""
+    """Rows (host, hc, hs, dc, ds): soft counts of languages of a host and of its domain, and their sums; and counts of all hosts."""
+    total = lambda c: sum((F.col(c)[i] for i in range(1, m)), F.col(c)[0])
     hosts = checkpointed(_sums(soft.where("host is not null and host != ''"), ["host", "domain"], m).withColumnRenamed("counts", "hc"))
     domains = hosts.groupBy("domain").agg(F.array(*[F.sum(F.col("hc")[i]) for i in range(m)]).alias("dc"))
     whole = hosts.agg(*[F.coalesce(F.sum(F.col("hc")[i]), F.lit(0.0)).alias(f"n{i}") for i in range(m)]).first()
-    return hosts.join(domains, "domain").select("host", "hc", "dc"), list(whole)
+    return hosts.join(domains, "domain").select("host", "hc", total("hc").alias("hs"), "dc", total("dc").alias("ds")), list(whole)
 
 
-def _smoothed_prior(own: Column, hc: Column, dc: Column, whole: list[float]) -> Column:
-    """A host's shares of languages without a row's own part in them, smoothed to its domain's and those to all hosts'."""
-    m = len(whole)
-    size = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
-    less = lambda counts: F.zip_with(counts, own, lambda n, p: F.greatest(n - p, F.lit(0.0)))
-    blend = lambda counts, lower, weight: F.zip_with(less(counts), lower, lambda n, q: (n + weight * q) / (size(counts) - size(own) + weight))
-    base = F.transform(less(F.array(*[F.lit(float(x)) for x in whole])), lambda n: (n + 1) / (F.lit(float(sum(whole) + m)) - size(own)))
-    return blend(hc, blend(dc, base, DOMAIN_WEIGHT), HOST_WEIGHT)
+def _with_prior(rows: DataFrame, whole: list[float]) -> DataFrame:
+    """Add ``prior``: a host's shares of languages without a row's own part, smoothed to its domain's and those to all hosts'.
+
+    A row's own part is its posterior ``own``, which sums to ``one``.
+    """
+    every, size = F.array(*[F.lit(float(x)) for x in whole]), float(sum(whole) + len(whole))
+    less = lambda n, p: F.greatest(n - p, F.lit(0.0))
+    share = lambda weight, sums: lambda n, p: less(n, p) / (F.col(sums) - F.col("one") + weight)
+    smooth = lambda weight, sums: lambda x, q: x + weight * q / (F.col(sums) - F.col("one") + weight)
+    rows = rows.withColumn("base", F.zip_with(every, "own", lambda n, p: (less(n, p) + 1) / (F.lit(size) - F.col("one"))))
+    for counts, sums, weight, lower, name in (("dc", "ds", DOMAIN_WEIGHT, "base", "dp"), ("hc", "hs", HOST_WEIGHT, "dp", "prior")):
+        rows = rows.withColumn("_own", F.zip_with(counts, "own", share(weight, sums)))
+        rows = rows.withColumn(name, F.zip_with("_own", lower, smooth(weight, sums)))
+    return rows.drop("_own")
 
 
 def identify_language(
@@ -217,17 +229,17 @@ def identify_language(
 def _fused(scored: DataFrame, languages: list[str], m: int, carry: list[str], floor: float, least: float) -> DataFrame:
     scored = scored.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1))
     flat, nothing = F.array(*[F.lit(float(-np.log(m)))] * m), F.array(*[F.lit(0.0)] * m)
-    counts, whole = host_counts(scored.where("n > 0").select("host", "domain", _posterior(F.col("logs")).alias("p")), m)
+    counts, whole = host_counts(scored.where("n > 0").select("host", "domain", _posterior(_levelled(F.col("logs"))).alias("p")), m)
     counts = checkpointed(counts)
-    if counts.count() * (16 * m + 256) <= BROADCAST_LIMIT:
+    if counts.count() * (16 * m + 272) <= BROADCAST_LIMIT:
         counts = F.broadcast(counts)
     # a hot host's rows are split by adaptive execution if the counts are too many to broadcast
     joined = scored.join(counts, "host", "left")
-    own = F.when(F.col("n") > 0, _posterior(F.col("logs"))).otherwise(nothing)
-    joined = joined.withColumn("prior", F.when(F.col("hc").isNotNull(), _smoothed_prior(own, F.col("hc"), F.col("dc"), whole)))
+    joined = joined.withColumns({"own": F.when(F.col("n") > 0, _posterior(_levelled(F.col("logs")))).otherwise(nothing), "one": (F.col("n") > 0).cast("double")})
+    joined = _with_prior(joined, whole)
     prior = F.coalesce(F.transform("prior", lambda p: F.log(p)), flat)
     logs = _add(_add(F.col("logs"), prior), _add(_evidence(F.col("declared"), languages, DECLARED_RIGHT), _evidence(F.col("suffix"), languages, SUFFIX_RIGHT)))
-    joined = joined.withColumn("post", _posterior(logs)).withColumn("top", F.array_max("post"))
+    joined = joined.withColumn("post", _posterior(_levelled(logs))).withColumn("top", F.array_max("post"))
     names = F.array(*[F.lit(y) for y in languages])
     found = F.element_at(names, F.array_position("post", F.col("top")).cast("int"))
     alone = F.element_at(names, F.array_position("logs", F.array_max("logs")).cast("int"))
