@@ -13,9 +13,16 @@ from ..operators import windows as W
 from ..sources.debate_xml import parse_debates
 
 
-def documents(files: DataFrame) -> DataFrame:
-    """One document a readable XML file, with the file as its source."""
-    return parse_debates(files).where("not failed").drop("failed").withColumn("source_files", F.array(F.element_at(F.split("path", "/"), -1)))
+def documents(files: DataFrame, listing: DataFrame | None = None) -> DataFrame:
+    """One document a readable XML file, with its sources: the file itself, after its companion if the listing of paths has one."""
+    docs = parse_debates(files).where("not failed").drop("failed")
+    name = lambda path: F.element_at(F.split(path, "/"), -1)
+    if listing is None:
+        return docs.withColumn("source_files", F.array(name("path")))
+    there = listing.select(F.col("path").alias("_companion")).distinct()
+    docs = docs.withColumn("_asked", F.regexp_replace("path", r"CRI_([^/]*)$", "AAA_$1")).join(J.small(there), F.col("_asked") == F.col("_companion"), "left")
+    known = F.col("_companion").isNotNull() & (F.col("_companion") != F.col("path"))
+    return docs.withColumn("source_files", F.when(known, F.array(name("_companion"), name("path"))).otherwise(F.array(name("path")))).drop("_asked", "_companion")
 
 
 def conversion_counts(files: DataFrame) -> DataFrame:
@@ -47,21 +54,21 @@ def build_speeches(rows: DataFrame, procedure_levels: tuple[str, ...] = ("major_
     proc = F.col("structure_level").isin(*procedure_levels)
     react = F.coalesce(F.col("interjection"), F.lit(False)) & X.is_reaction(F.col("text")) & ~proc
     key = F.when(speaker.isNotNull(), F.struct(speaker.alias("s"), F.col("role").alias("r")))
-    rows = W.group_islands(rows.withColumns({"_proc": proc, "_react": react}), part, order, key, F.col("_proc"), F.col("_react"))
+    rows = W.group_islands(rows.withColumns({"_procedure": proc, "_reaction": react}), part, order, key, F.col("_procedure"), F.col("_reaction"))
     clean = F.nullif(X.strip_wrappers(F.col("text")), F.lit(""))
     ordered = lambda value: W.ordered_list(F.col("row_order"), value)
     title = F.when(F.col("structure_level") == "major_topic", F.col("major_topic")).otherwise(clean)
-    spoken = F.when(F.col("_proc"), title).when(~F.col("_react"), clean)
-    first = [F.min_by(c, "row_order").alias(c) for c in rows.columns if c not in (*part, "speech_order", "row_order", "id", "text", "interjection", "_proc", "_react", "major_topic_order", "major_topic_number", "major_topic", "subtopic")]
+    spoken = F.when(F.col("_procedure"), title).when(~F.col("_reaction"), clean)
+    first = [F.min_by(c, "row_order").alias(c) for c in rows.columns if c not in (*part, "speech_order", "row_order", "id", "text", "interjection", "_procedure", "_reaction", "major_topic_order", "major_topic_number", "major_topic", "subtopic")]
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("row_order"))).alias(c) for c in ("major_topic_order", "major_topic_number", "major_topic", "subtopic")]
     return rows.groupBy(*part, "speech_order").agg(
-        F.when(F.bool_or("_proc"), "procedure").otherwise("speech").alias("row_type"),
+        F.when(F.bool_or("_procedure"), "procedure").otherwise("speech").alias("row_type"),
         F.min("row_order").alias("first_row_order"),
         F.max("row_order").alias("last_row_order"),
         ordered(F.col("row_order")).alias("source_row_orders"),
         ordered(F.col("id")).alias("source_ids"),
         F.array_join(ordered(spoken), " ").alias("speech_text"),
-        ordered(F.when(F.col("_react"), clean)).alias("interjections"),
+        ordered(F.when(F.col("_reaction"), clean)).alias("interjections"),
         *first,
         *last,
     )
