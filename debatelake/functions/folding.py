@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 import html
 import re
 import unicodedata
@@ -30,14 +31,15 @@ def unicode_key(x: pd.Series) -> pd.Series:
     return x.map({v: fold_key(v) for v in x.unique()})
 
 
-@pandas_udf(T.DoubleType())
-def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity of two keys: 1 if equal, 0 if either is empty."""
+@functools.lru_cache(1 << 14)
+def _ratio(x: str | None, y: str | None) -> float:
+    return 0.0 if not x or not y else 1.0 if x == y else difflib.SequenceMatcher(None, x, y).ratio()
 
-    def ratio(x: str | None, y: str | None) -> float:
-        return 0.0 if not x or not y else 1.0 if x == y else difflib.SequenceMatcher(None, x, y).ratio()
 
-    return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+@pandas_udf(T.DoubleType())
+def name_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Ratcliff-Obershelp similarity of two keys: 1 if equal, 0 if either is empty; the last pairs are remembered."""
+    return pd.Series([_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 @pandas_udf(T.StringType())
