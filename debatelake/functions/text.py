@@ -86,10 +86,16 @@ def split_name(x: Column) -> Column:
     return F.struct(F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), " ").alias("first_name"), F.element_at(words, -1).alias("last_name"))
 
 
-def has_speaker_marker(x: Column) -> Column:
-    """Whether a text opens with an honorific, a capitalised name and a comma or full stop."""
+def capital(x: Column) -> Column:
+    """A character's capital; itself if that is not one character, as with ß and ligatures."""
+    upper = F.upper(x)
+    return F.when(F.length(upper) == F.length(x), upper).otherwise(x)
+
+
+def has_speaker_marker(x: Column, space: str = _SP) -> Column:
+    """Whether a text opens with an honorific, a capitalised name and a comma or full stop; ``space`` is a class body."""
     marks = "|".join(m.replace(".", r"\.") for m in C.SPEAKER_MARKS)
-    return F.coalesce(x.rlike(rf"^[{_SP}]*(?:{marks})[{_SP}]+[A-ZÀ-ÖØ-Þ][^.!?\n]{{2,90}}[,.]"), F.lit(False))
+    return F.coalesce(x.rlike(rf"^[{space}]*(?:{marks})[{space}]+[A-ZÀ-ÖØ-Þ][^.!?\n]{{2,90}}[,.]"), F.lit(False))
 
 
 def is_reaction(x: Column, words: Iterable[str] = C.REACTION_WORDS) -> Column:
