@@ -5,7 +5,7 @@ Patterns spell out Unicode classes, as Java's defaults cover ASCII alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,11 @@ _FOLD_FROM = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 _FOLD_TO = "aaaaaaceeeeiiiinooooouuuuyy"
 
 
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a column whose value is computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
 def strip(x: Column) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(x, rf"^[{_SP}]+|[{_SP}]+$", "")
@@ -115,8 +120,8 @@ def is_parenthetical(x: Column) -> Column:
 
 
 def is_title_like(x: Column, least: float = 0.70, most_chars: int = 180) -> Column:
-    t = strip_wrappers(x)
-    return (t != "") & ~is_parenthetical(t) & (F.length(t) <= most_chars) & ~t.rlike(r"[.!?;:]$") & (upper_ratio(t) >= least)
+    bracketed = lambda t: t.startswith("(") & t.endswith(")")
+    return once(strip_wrappers(x), lambda t: (t != "") & (F.length(t) <= most_chars) & ~t.rlike(r"[.!?;:]$") & ~bracketed(t) & (upper_ratio(t) >= least))
 
 
 #: Split contractions and what each becomes.
@@ -125,15 +130,19 @@ _CONTRACTIONS = ((r"[àÀ]", "les", "aux"), (r"[àÀ]", "le", "au"), ("[dD][eE]"
 
 def clean_title(x: Column) -> Column:
     """Rejoin split contractions, capitals among capitals, and close gaps after apostrophes."""
-    bare = F.regexp_replace(x, r"(?iuU)\b(?:à\s+les|à\s+le|de\s+les|de\s+le)\b", " ")
-    upper = (upper_ratio(x) >= 0.8) | (upper_ratio(bare) >= 0.8)
-    out = x
-    for head, tail, joined in _CONTRACTIONS:
-        capital = head.replace("[àÀ]", "À").replace("[dD][eE]", "DE") + rf"\s+{tail.upper()}"
-        out = F.regexp_replace(out, rf"(?U)\b{capital}\b", joined.upper())
-        anyhow = rf"(?iuU)\b{head}\s+{tail}\b"
-        out = F.when(upper, F.regexp_replace(out, anyhow, joined.upper())).otherwise(F.regexp_replace(out, anyhow, joined))
-    return F.regexp_replace(out, rf"([{_LETTER}])'\s+(?=[{_LETTER}])", "$1'")
+    def joined(x: Column) -> Column:
+        bare = F.regexp_replace(x, r"(?iuU)\b(?:à\s+les|à\s+le|de\s+les|de\s+le)\b", " ")
+        upper = (upper_ratio(x) >= 0.8) | (upper_ratio(bare) >= 0.8)
+        capitals = others = x
+        for head, tail, joint in _CONTRACTIONS:
+            capital = head.replace("[àÀ]", "À").replace("[dD][eE]", "DE") + rf"\s+{tail.upper()}"
+            anyhow = rf"(?iuU)\b{head}\s+{tail}\b"
+            capitals, others = (F.regexp_replace(out, rf"(?U)\b{capital}\b", joint.upper()) for out in (capitals, others))
+            capitals, others = F.regexp_replace(capitals, anyhow, joint.upper()), F.regexp_replace(others, anyhow, joint)
+        return F.when(upper, capitals).otherwise(others)
+
+    split = r"(?iuU)\b(?:[àÀ]|de)\s+les?\b"
+    return once(x, lambda t: F.regexp_replace(F.when(t.rlike(split), joined(t)).otherwise(t), rf"([{_LETTER}])'\s+(?=[{_LETTER}])", "$1'"))
 
 
 def phrases(words: Iterable[str]) -> str:
@@ -142,22 +151,37 @@ def phrases(words: Iterable[str]) -> str:
     return "(?:" + "|".join(w.translate(loose) for w in sorted(words, key=len, reverse=True)) + ")"
 
 
-def normalize_major_title(x: Column) -> Column:
+def _undetailed(x: Column) -> Column:
     """A title without the detail of its debate, glued words parted."""
     t = strip(F.regexp_replace(x, rf"\s+{phrases(C.DEBATE_DETAILS)}.*$", ""))
     for glued, right in C.GLUED_WORDS.items():
         t = F.regexp_replace(t, rf"(?U)\b{glued}\b", right)
-    return clean_title(squeeze(t))
+    return squeeze(t)
+
 
+def normalize_major_title(x: Column) -> Column:
+    """A title without the detail of its debate, glued words parted, cleaned."""
+    return clean_title(_undetailed(x))
+
+
+#: A text that ends in punctuation, wrappers aside: no title ends so.
+_ENDS = rf"[.!?;:](?:{_WRAP})?$"
+#: Cleaning leaves more than a quarter of a squeezed text: of what it rejoins at least two fifths, of gaps closed two thirds.
+_CLEANED_SHARE = 4
 
-def match_major_topic(x: Column) -> Column:
+
+def match_major_topic(x: Column, most_chars: int = 180) -> Column:
     """Struct (number, title) of a numbered title that opens a text or its last sentence; else null."""
-    t = strip_wrappers(x)
-    opens = t.rlike(r"^\d{1,2}\s+\S")
     inner = r"(?:^|[.!?]\s+)(\d{1,2})\s+(.+?)$"
-    number = F.when(opens, F.regexp_extract(t, r"^(\d{1,2})\s+(.+?)$", 1)).otherwise(F.regexp_extract(t, inner, 1))
-    title = normalize_major_title(F.when(opens, F.regexp_extract(t, r"^(\d{1,2})\s+(.+?)$", 2)).otherwise(F.regexp_extract(t, inner, 2)))
-    return F.when((number != "") & is_title_like(title, 0.55), F.struct(number.try_cast("int").alias("number"), title.alias("title")))
+    made = lambda number, title: F.when(is_title_like(title, 0.55, most_chars), F.struct(number.try_cast("int").alias("number"), title.alias("title")))
+    # of a longer one no title can be left
+    fits = lambda raw: F.length(F.regexp_replace(raw, f"^{_WRAP}|{_WRAP}$", "")) <= _CLEANED_SHARE * most_chars
+    titled = lambda number, raw: once(_undetailed(raw), lambda r: F.when(fits(r), once(clean_title(r), lambda title: made(number, title))))
+    found = lambda t, pattern: F.when(t.rlike(pattern), titled(F.regexp_extract(t, pattern, 1), F.regexp_extract(t, pattern, 2)))
+    whole = once(strip_wrappers(x), lambda t: F.when(t.rlike(r"^\d{1,2}\s+\S"), found(t, r"^(\d{1,2})\s+(.+?)$")).otherwise(found(t, inner)))
+    # only the detail of a debate can hide that a title ends in punctuation
+    details = phrases(C.DEBATE_DETAILS).replace("['’ ]", r"(?:['’]|\s+)").replace(r"\s+", f"[{_SP}]+")
+    return F.when(~F.coalesce(x.rlike(_ENDS) & ~x.rlike(details), F.lit(False)), whole)
 
 
 def _subtopic_candidate(t: Column) -> Column:
@@ -167,14 +191,14 @@ def _subtopic_candidate(t: Column) -> Column:
 
 def match_subtopic(x: Column) -> Column:
     """An unnumbered title, alone or after the last sentence; else null."""
-    t = strip_wrappers(x)
     capital = r"[A-ZÀ-ÖØ-Þ]"
-    announced = strip(F.regexp_extract(t, rf"(?U)\b{phrases(C.ANNOUNCEMENTS)}\b.+?\s+({capital}(?:{capital}|[' -])+{capital})\s*$", 1))
-    parts = F.split(t, r"[.!?;:]\s+")
-    tail = strip(F.element_at(parts, -1))
-    trailing = (F.size(parts) > 1) & ~tail.rlike(r"(?iuU)\bla parole est\b") & _subtopic_candidate(tail)
-    found = F.when(_subtopic_candidate(t), t).when((announced != "") & _subtopic_candidate(announced), announced).when(trailing, tail)
-    return clean_title(found)
+    announced = lambda t: strip(F.regexp_extract(t, rf"(?U)\b{phrases(C.ANNOUNCEMENTS)}\b.+?\s+({capital}(?:{capital}|[' -])+{capital})\s*$", 1))
+    spoken = r"(?iuU)\bla parole est\b"
+    trailing = lambda parts: F.when(F.size(parts) > 1, once(strip(F.element_at(parts, -1)), lambda tail: F.when(~tail.rlike(spoken) & _subtopic_candidate(tail), tail)))
+    named = lambda t: once(announced(t), lambda a: F.when((a != "") & _subtopic_candidate(a), a))
+    found = once(strip_wrappers(x), lambda t: F.when(_subtopic_candidate(t), t).otherwise(F.coalesce(named(t), once(F.split(t, r"[.!?;:]\s+"), trailing))))
+    # each of the three ends where the text does
+    return F.when(~F.coalesce(x.rlike(_ENDS), F.lit(False)), clean_title(found))
 
 
 def is_continuation(x: Column) -> Column:
